@@ -18,6 +18,7 @@ from heliovent.functions.columns import (
     nested_field,
     typed_null,
 )
+from heliovent.functions.rounding import round_cents
 from heliovent.functions.timekeys import epoch_seconds
 from heliovent.schemas import NORMALISED
 
@@ -88,10 +89,10 @@ def flatten_nested(df: DataFrame) -> DataFrame:
     flat = {
         "city_name": city_name(schema),
         "dt": field_or_null(schema, ["dt"], "bigint"),
-        "temperatura_c": F.round(measure("main", "temp"), 2),
+        "temperatura_c": round_cents(measure("main", "temp")),
         "humedad_porcentaje": measure("main", "humidity"),
         "presion_hpa": measure("main", "pressure"),
-        "velocidad_viento_m_s": F.round(measure("wind", "speed"), 2),
+        "velocidad_viento_m_s": round_cents(measure("wind", "speed")),
         "direccion_viento_grados": measure("wind", "deg"),
         "lat": coordinate(schema, "lat"),
         "lon": coordinate(schema, "lon"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -15,6 +15,7 @@ from heliovent.operators.quality import keep_valid, observe_quality, require_row
 from heliovent.operators.report import energy_report, render_markdown
 from heliovent.operators.silver import latest_observations, to_silver
 from heliovent.plans.session import ensure_checkpoint_dir, require_utc
+from heliovent.schemas import DAILY_PARTITIONS, PATTERN_PARTITIONS
 from heliovent.sources.readers import load_sources, read_daily, read_patterns, read_silver
 from heliovent.sources.writers import into_files, write_daily, write_patterns, write_silver
 
@@ -76,6 +77,8 @@ def run_gold(
     daily_path: str,
     patterns_path: str,
     dedupe: bool = False,
+    daily_keys: Sequence[str] = DAILY_PARTITIONS,
+    pattern_keys: Sequence[str] = PATTERN_PARTITIONS,
 ) -> None:
     """Replace both gold tables from silver.
 
@@ -93,8 +96,8 @@ def run_gold(
         silver = latest_observations(silver)
     ensure_checkpoint_dir(spark, f"{daily_path.rstrip('/')}_checkpoints")
     rollup = gold_rollup(silver).checkpoint()
-    write_daily(daily_from_rollup(rollup), daily_path)
-    write_patterns(patterns_from_rollup(rollup), patterns_path)
+    write_daily(daily_from_rollup(rollup), daily_path, daily_keys)
+    write_patterns(patterns_from_rollup(rollup), patterns_path, pattern_keys)
 
 
 def run_report(spark: SparkSession, daily_path: str, patterns_path: str) -> str:

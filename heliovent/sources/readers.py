@@ -59,13 +59,18 @@ def read_multiline_json(
     return reader.json(path)
 
 
+def _pinned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    # Partition columns come last in a scan; the select restores the order of the schema.
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver with its pinned schema: inference would turn the partition text ``01`` into 1."""
-    return spark.read.schema(SILVER).parquet(path)
+    return _pinned(spark, path, SILVER)
 
 
 def _read_gold(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    table = spark.read.schema(schema).parquet(path)
+    table = _pinned(spark, path, schema)
     require_rows(table, f"gold table {path}")
     return table
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from heliovent.operators.messages import as_messages
@@ -17,11 +19,19 @@ def into_files(df: DataFrame, files: int | None) -> DataFrame:
     return df if files is None else df.repartition(files)
 
 
-def gather_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Bring rows of a partition folder together, at the file sizes adaptive execution aims for.
+def by_folder(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Arrange a gold table for writing into one folder per combination of ``keys``.
+
+    Folders of a city are small, since gold holds one row per city and day or per hour of a
+    month, but there are many. Each becomes one file, and the number of tasks is fixed:
+    adaptive execution looks at bytes only, and would leave one task to open all those files.
 
-    Small keys share a task and a key too big for one is split over several.
+    Folders without the city may be large and uneven. Those are left to adaptive execution,
+    which splits the big ones and merges the small ones.
     """
+    if "ciudad" in keys:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(tasks, *keys)
     return df.hint("rebalance", *keys)
 
 
@@ -30,18 +40,23 @@ def write_silver(silver: DataFrame, path: str, files: int | None = None) -> None
     into_files(silver, files).write.mode("append").partitionBy(*SILVER_PARTITIONS).parquet(path)
 
 
-def _replace(table: DataFrame, path: str, keys: tuple[str, ...]) -> None:
+def _replace(table: DataFrame, path: str, keys: Sequence[str]) -> None:
     # Static overwrite on purpose: partitions absent from the new table must go.
-    writer = gather_by(table, *keys).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = by_folder(table, keys).write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*keys).parquet(path)
 
 
-def write_daily(daily: DataFrame, path: str) -> None:
-    _replace(daily, path, DAILY_PARTITIONS)
+def write_daily(daily: DataFrame, path: str, keys: Sequence[str] = DAILY_PARTITIONS) -> None:
+    _replace(daily, path, keys)
 
 
-def write_patterns(patterns: DataFrame, path: str) -> None:
-    _replace(patterns, path, PATTERN_PARTITIONS)
+def write_patterns(patterns: DataFrame, path: str, keys: Sequence[str] = PATTERN_PARTITIONS) -> None:
+    """Replace the patterns table.
+
+    The default layout has a file of 24 rows per city and month. With many thousands of cities
+    ``keys=["mes_anio"]`` is kinder to the file system; readers work with either.
+    """
+    _replace(patterns, path, keys)
 
 
 def publish(records: DataFrame, servers: str, topic: str, **options: str) -> None:
