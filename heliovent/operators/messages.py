@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from heliovent.schemas import STREAM_RECORD
 
-# The parts of the API answer that are used. Maps, because a key that is absent must be told
-# apart from one that is null.
+# The parts of the API answer that are used; their entries are all numbers. Maps, because a key
+# that is absent must be told apart from one that is null.
 _PAYLOAD = (
     "name STRING, dt BIGINT, "
-    "coord MAP<STRING, STRING>, main MAP<STRING, STRING>, wind MAP<STRING, STRING>"
+    "coord MAP<STRING, DOUBLE>, main MAP<STRING, DOUBLE>, wind MAP<STRING, DOUBLE>"
 )
 
 # Keys without which an answer cannot become a record.
@@ -30,14 +30,16 @@ def normalise_payload(
     ``datetime_utc`` is the time of the observation.
     """
     now_ms = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
-    parsed = payloads.select(F.from_json(F.col(column), _PAYLOAD).alias("p")).select("p.*")
+    # As a generated row the parsed answer is computed once; a plain column would be parsed
+    # again for each condition, since filters are pushed below projections.
+    parsed = payloads.select(F.inline(F.array(F.from_json(F.col(column), _PAYLOAD))))
     complete = F.col("dt").isNotNull()
     for part, keys in _REQUIRED.items():
         for key in keys:
             complete = complete & F.map_contains_key(F.col(part), key)
 
     def number(part: str, key: str) -> Column:
-        return F.try_element_at(F.col(part), F.lit(key)).try_cast("double")
+        return F.try_element_at(F.col(part), F.lit(key))
 
     observed = F.timestamp_seconds(F.col("dt"))
     return parsed.filter(complete).select(
