@@ -319,11 +319,17 @@ FROM (
   FROM nested
 )
 """,
-    "empty_gate": _with(_EVENTS)
+    "empty_gate": _with(
+        _EVENTS,
+        _NESTED,
+        _FLAT,
+        _RAW,
+        "judged AS (SELECT city_name IS NOT NULL AND temperatura_c IS NOT NULL AND dt IS NOT NULL AS ok FROM raw)",
+    )
     + """
-SELECT 'valid' AS batch, count(*) FILTER (temp IS NOT NULL) = 0 AS is_empty FROM e
+SELECT 'all' AS batch, count(*) FILTER (ok) = 0 AS is_empty FROM judged
 UNION ALL
-SELECT 'no_city', count(*) FILTER (temp IS NOT NULL AND NULL IS NOT NULL) = 0 FROM e
+SELECT 'rejected', count(*) FILTER (ok) = 0 FROM judged WHERE NOT ok
 """,
     "preview": _with(*_F2)
     + """

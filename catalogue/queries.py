@@ -120,13 +120,12 @@ def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gate over the valid rows, and over what is left once all of them are invalid."""
+    """The gate over all rows, and over those the quality rule rejects, of which none is left."""
     rows = _both_shapes(spark, sf_dir)
-    no_city = rows.withColumn("ciudad", F.lit(None).cast("string"))
     outcomes = []
-    for name, table in {"valid": rows, "no_city": no_city}.items():
+    for name, batch in {"all": rows, "rejected": rows.filter(~quality.is_valid())}.items():
         try:
-            quality.require_rows(quality.keep_valid(table), name)
+            quality.require_rows(quality.keep_valid(batch), name)
             outcomes.append((name, False))
         except quality.EmptyTableError:
             outcomes.append((name, True))
@@ -160,7 +159,7 @@ def scan_parquet_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.silver_observations(spark, sf_dir)
     day = F.timestamp_seconds("timestamp_epoch")
     parts = {"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM"), "day": F.date_format(day, "dd")}
-    rows.withColumns(parts).repartition(*parts).write.partitionBy(*parts).parquet(path)
+    rows.withColumns(parts).hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
     return readers.read_recursive_parquet(spark, path)
 
 
@@ -172,7 +171,8 @@ def scan_json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = inputs.scratch(spark, "silver")
-    writers.write_silver(silver.stamp_ingestion(inputs.silver_observations(spark, sf_dir), RUN_TS), path, files=1)
+    stamped = silver.stamp_ingestion(inputs.silver_observations(spark, sf_dir), RUN_TS)
+    writers.write_silver(stamped, path, files=spark.sparkContext.defaultParallelism)
     return readers.read_silver(spark, path).drop("fecha_procesamiento_utc")
 
 
@@ -242,9 +242,7 @@ def stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs.stream_messages(spark, sf_dir).write.parquet(f"{root}/topic")
     topic = spark.readStream.schema(T.StructType([T.StructField("value", T.BinaryType())]))
     stream = raw.to_raw(topic.parquet(f"{root}/topic"))
-    raw.start_raw_sink(
-        stream, f"{root}/raw", f"{root}/checkpoint", files_per_batch=1, drain=True
-    ).awaitTermination()
+    raw.start_raw_sink(stream, f"{root}/raw", f"{root}/checkpoint", drain=True).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/raw")
 
 

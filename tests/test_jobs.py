@@ -5,13 +5,16 @@ import os
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import heliovent
 from catalogue import inputs
-from heliovent.operators.quality import EmptyTableError
+from heliovent.operators.quality import EmptyTableError, observe_quality
+from heliovent.operators.silver import to_silver
 from heliovent.sources import readers
 from heliovent.sources.readers import NoSourceError
+from tests.plans import assert_no_python, physical_plan
 
 SF_DIR = "/root/testdata/sf0.001"
 RUN = datetime(2025, 1, 5, tzinfo=timezone.utc)
@@ -119,6 +122,17 @@ def test_silver_counts_are_exact_with_a_shuffle_before_the_write(spark, lake, tm
     assert run.total_rows == spark.read.parquet(f"{lake}/raw/api").count()
 
 
+def test_silver_is_one_narrow_pass(spark, lake):
+    combined, _ = readers.load_sources(spark, parquet=[f"{lake}/raw/api", f"{lake}/raw/stream"])
+    silver = observe_quality(to_silver(combined, RUN), Observation())
+    text = physical_plan(silver)
+    assert_no_python(silver)
+    assert "Exchange" not in text
+    assert text.count("FileScan") == 2
+    assert "_airbyte_raw_id" not in text and "datetime_utc" not in text, "unused columns are not read"
+    assert "struct<temp:double,humidity:bigint,pressure:double>" in text
+
+
 def test_checkpoints_go_to_the_folder_the_cluster_names(spark, lake, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     run_all(spark, lake, str(tmp_path))
