@@ -11,7 +11,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliovent.schemas import SILVER, SILVER_PARTITIONS
+from heliovent.operators.silver import STAMPS
+from heliovent.schemas import SILVER
 
 RECORDS_PER_JSON_FILE = 5_000
 
@@ -111,11 +112,10 @@ def silver_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lluvia_1h_mm": F.col("rain"),
         "ciudad": F.col("city"),
     }
-    stamps = ("fecha_procesamiento_utc", *SILVER_PARTITIONS)
     columns = [
         have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
         for f in SILVER
-        if f.name not in stamps
+        if f.name not in STAMPS
     ]
     return events(spark, sf_dir).filter(F.col("temp").isNotNull()).select(*columns)
 

@@ -7,7 +7,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliovent.schemas import SILVER
+from heliovent.schemas import SILVER, SILVER_PARTITIONS
+
+# The columns that are the same for all rows of a run, last in the silver schema.
+STAMPS = ("fecha_procesamiento_utc", *SILVER_PARTITIONS)
 
 # Normalised name -> silver name, where they differ.
 SILVER_NAMES = {
@@ -50,12 +53,20 @@ def stamp_ingestion(df: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def to_silver(normalised: DataFrame, run_ts: datetime) -> DataFrame:
-    """Normalised rows -> the silver columns, in order. Needs a UTC session for the ISO text."""
+def silver_columns(normalised: DataFrame) -> DataFrame:
+    """Normalised rows -> silver names and order, without the stamps of a run.
+
+    Needs a UTC session for the ISO text.
+    """
     renamed = normalised.withColumnsRenamed(SILVER_NAMES).withColumn(
         "timestamp_iso", F.from_unixtime("timestamp_epoch", "yyyy-MM-dd HH:mm:ss")
     )
-    return stamp_ingestion(renamed, run_ts).select(*SILVER.fieldNames())
+    return renamed.select(*[c for c in SILVER.fieldNames() if c not in STAMPS])
+
+
+def to_silver(normalised: DataFrame, run_ts: datetime) -> DataFrame:
+    """Normalised rows -> the silver table of one run."""
+    return stamp_ingestion(silver_columns(normalised), run_ts)
 
 
 def preview(silver: DataFrame, rows: int = 5) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from heliovent.operators.gold import daily_from_rollup, gold_rollup, patterns_from_rollup
 from heliovent.operators.quality import keep_valid, observe_quality, require_rows
 from heliovent.operators.report import energy_report, render_markdown
-from heliovent.operators.silver import latest_observations, to_silver
+from heliovent.operators.silver import latest_observations, silver_columns, stamp_ingestion
 from heliovent.plans.session import ensure_checkpoint_dir, require_utc
 from heliovent.schemas import DAILY_PARTITIONS, PATTERN_PARTITIONS
 from heliovent.sources.readers import load_sources, read_daily, read_patterns, read_silver
@@ -46,11 +46,14 @@ def run_silver(
     """
     require_utc(spark)
     combined, skipped = load_sources(spark, parquet, json, json_schema)
-    silver = to_silver(combined, run_ts or datetime.now(timezone.utc))
-    require_rows(keep_valid(silver), "the cleaned silver batch")
+    rows = silver_columns(combined)
+    require_rows(keep_valid(rows), "the cleaned silver batch")
 
     counts = Observation("silver_quality")
-    write_silver(observe_quality(into_files(silver, files), counts), silver_path)
+    valid = observe_quality(into_files(rows, files), counts)
+    # Stamped last: Spark then sees that the partition columns are constants, and writes
+    # without sorting the rows by them.
+    write_silver(stamp_ingestion(valid, run_ts or datetime.now(timezone.utc)), silver_path)
     run = SilverRun(**counts.get, skipped_sources=skipped)
     if run.rejected_rows:
         log.warning("%d of %d rows rejected as incomplete", run.rejected_rows, run.total_rows)

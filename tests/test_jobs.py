@@ -14,7 +14,7 @@ from heliovent.operators.quality import EmptyTableError, observe_quality
 from heliovent.operators.silver import to_silver
 from heliovent.sources import readers
 from heliovent.sources.readers import NoSourceError
-from tests.plans import assert_no_python, physical_plan
+from tests.plans import assert_no_python, last_executed_plan, physical_plan
 
 SF_DIR = "/root/testdata/sf0.001"
 RUN = datetime(2025, 1, 5, tzinfo=timezone.utc)
@@ -133,6 +133,13 @@ def test_silver_is_one_narrow_pass(spark, lake):
     assert "struct<temp:double,humidity:bigint,pressure:double>" in text
 
 
+def test_silver_is_written_without_sorting(spark, lake, tmp_path):
+    heliovent.run_silver(spark, str(tmp_path / "s"), parquet=[f"{lake}/raw/api"], run_ts=RUN)
+    executed = last_executed_plan(spark)
+    assert "InsertIntoHadoopFsRelationCommand" in executed
+    assert "Sort" not in executed and "Exchange" not in executed
+
+
 def test_checkpoints_go_to_the_folder_the_cluster_names(spark, lake, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     run_all(spark, lake, str(tmp_path))
