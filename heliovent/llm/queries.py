@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from heliovent.llm.lm_scoring import score_texts
+from heliovent.llm.ngram_join import join_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,7 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": over("documents", score_texts),
+    "op8_ngram_join": over("documents", join_documents),
 }
 
 ORACLES: dict[str, str] = {}
