@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from heliovent.llm.lm_scoring import score_texts
 from heliovent.llm.ngram_join import join_documents
+from heliovent.llm.packing import pack_documents
 from heliovent.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,7 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": over("documents", score_texts),
+    "op3_best_fit_packing": over("documents", pack_documents),
     "op5_suffix_dedup": over("documents", remove_repeats),
     "op8_ngram_join": over("documents", join_documents),
 }
