@@ -7,9 +7,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heliovent.llm.language_id import identify
 from heliovent.llm.lm_scoring import score_texts
 from heliovent.llm.ngram_join import join_documents
 from heliovent.llm.packing import pack_documents
+from heliovent.llm.pii import find_private
 from heliovent.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +34,9 @@ QUERIES: dict[str, Query] = {
     "op1_lm_scoring": over("documents", score_texts),
     "op3_best_fit_packing": over("documents", pack_documents),
     "op5_suffix_dedup": over("documents", remove_repeats),
+    "op7_pii": over("documents", find_private),
     "op8_ngram_join": over("documents", join_documents),
+    "op9_language_id": over("documents", identify),
 }
 
 ORACLES: dict[str, str] = {}
