@@ -12,6 +12,7 @@ from heliovent.llm.lm_scoring import score_texts
 from heliovent.llm.ngram_join import join_documents
 from heliovent.llm.packing import pack_documents
 from heliovent.llm.pii import find_private
+from heliovent.llm.quality_rules import judge_quality
 from heliovent.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "op1_lm_scoring": over("documents", score_texts),
     "op3_best_fit_packing": over("documents", pack_documents),
     "op5_suffix_dedup": over("documents", remove_repeats),
+    "op6_quality_rules": over("documents", judge_quality),
     "op7_pii": over("documents", find_private),
     "op8_ngram_join": over("documents", join_documents),
     "op9_language_id": over("documents", identify),
