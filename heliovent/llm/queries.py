@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heliovent.llm.embedding_dedup import join_vectors
 from heliovent.llm.language_id import identify
 from heliovent.llm.lm_scoring import score_texts
 from heliovent.llm.ngram_join import join_documents
@@ -33,6 +34,7 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": over("documents", score_texts),
+    "op2_embedding_dedup": over("embeddings", join_vectors),
     "op3_best_fit_packing": over("documents", pack_documents),
     "op5_suffix_dedup": over("documents", remove_repeats),
     "op6_quality_rules": over("documents", judge_quality),
