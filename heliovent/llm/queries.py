@@ -14,6 +14,7 @@ from heliovent.llm.ngram_join import join_documents
 from heliovent.llm.packing import pack_documents
 from heliovent.llm.pii import find_private
 from heliovent.llm.quality_rules import judge_quality
+from heliovent.llm.sentencepiece_codec import encode_texts
 from heliovent.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,7 @@ QUERIES: dict[str, Query] = {
     "op1_lm_scoring": over("documents", score_texts),
     "op2_embedding_dedup": over("embeddings", join_vectors),
     "op3_best_fit_packing": over("documents", pack_documents),
+    "op4_sentencepiece": over("documents", encode_texts),
     "op5_suffix_dedup": over("documents", remove_repeats),
     "op6_quality_rules": over("documents", judge_quality),
     "op7_pii": over("documents", find_private),
