@@ -41,18 +41,22 @@ MOST = 1 << 18
 PIECE = 4096  # windows; a longer stretch of one label makes several pieces
 NO_ID = (1 << 63) - 1
 _PLACE = U64((1 << 22) - 1)
-_SLICE = 2 << 20
+_SLICE = 1 << 17  # bytes at a time, so that temporaries stay in the cache
 
 _PIECES = pa.schema([*ex.REQUEST_ARROW])
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
-def _slices(offsets: np.ndarray):
-    """Ranges of texts of about _SLICE bytes; longer texts stand alone."""
+def _slices(offsets: np.ndarray, length: int):
+    """Ranges of texts and of their bytes, about _SLICE bytes each; a longer text comes in overlapping parts with all its windows."""
     at = 0
     while at < len(offsets) - 1:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _SLICE, "right")) - 1)
-        yield at, to
+        low, high = int(offsets[at]), int(offsets[to])
+        while high - low > 2 * _SLICE:
+            yield at, to, low, low + _SLICE + length - 1
+            low += _SLICE
+        yield at, to, low, high
         at = to
 
 
@@ -67,18 +71,12 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Of every window of the bytes, the place of its anchor; and the hash of every gram."""
+    """Of every window of the bytes (under 4 MiB of them), the place of its anchor; and the hash of every gram."""
     sums = prefix_sums(data)
     count = len(data) - gram + 1
     grams = mix((sums[gram:] - sums[:-gram]) * powers(count, True))
     width = length - gram + 1
-    if len(data) <= int(_PLACE):
-        return (_least((grams & ~_PLACE) | np.arange(count, dtype=U64), width) & _PLACE).astype(np.int64), grams
-    step, parts = int(_PLACE) - length, []  # one very long text
-    for at in range(0, count - width + 1, step):
-        some = grams[at : at + step + width - 1]
-        parts.append((_least((some & ~_PLACE) | np.arange(len(some), dtype=U64), width) & _PLACE).astype(np.int64) + at)
-    return np.concatenate(parts), grams
+    return (_least((grams & ~_PLACE) | np.arange(count, dtype=U64), width) & _PLACE).astype(np.int64), grams
 
 
 class _Stretches:
@@ -90,13 +88,12 @@ class _Stretches:
         self.ids = ids[order]
         self.data, self.offsets = text_bytes(column(table, "text").take(pa.array(order)))
         parts = [(np.zeros(0, np.int64),) * 4 + (np.zeros(0, U64),)]
-        for a, b in _slices(self.offsets):
-            base = int(self.offsets[a])
-            data = self.data[base : int(self.offsets[b])]
+        for a, b, base, high in _slices(self.offsets, length):
+            data = self.data[base:high]
             if len(data) < length:
                 continue
             place, grams = anchors(data, length)
-            ends = self.offsets[a + 1 : b + 1] - base
+            ends = np.minimum(self.offsets[a + 1 : b + 1], high) - base
             valid = np.ones(len(place), bool)
             for end in ends[:-1].tolist():
                 valid[max(0, end - length + 1) : end] = False

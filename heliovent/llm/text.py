@@ -15,7 +15,7 @@ U64 = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
-_WINDOW = 1 << 20  # bytes hashed at a time, so that temporaries stay small
+_WINDOW = 1 << 18  # bytes hashed at a time, so that temporaries stay small
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
