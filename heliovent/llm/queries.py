@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from heliovent.llm.embedding_dedup import join_vectors
 from heliovent.llm.language_id import identify
+from heliovent.llm.license_scan import scan_licenses
 from heliovent.llm.lm_scoring import score_texts
 from heliovent.llm.ngram_join import join_documents
 from heliovent.llm.packing import pack_documents
@@ -43,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "op7_pii": over("documents", find_private),
     "op8_ngram_join": over("documents", join_documents),
     "op9_language_id": over("documents", identify),
+    "op10_license_scan": over("documents", scan_licenses),
 }
 
 ORACLES: dict[str, str] = {}
