@@ -213,32 +213,59 @@ def learn(docs: DataFrame, path: str, rounds: int = ROUNDS) -> PieceModel | None
     return model
 
 
+def _judged(model: PieceModel, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    languages = model.languages
+    words = _Words(texts)
+    scores = np.zeros((len(words.one), len(languages)))
+    for at, table in words.by_length():
+        scores[at] = model.log_scores(table)
+    n = np.diff(words.first)
+    total = np.zeros((len(n), len(languages)))
+    full = np.flatnonzero(n)
+    if len(full):
+        for k in range(len(languages)):
+            total[full, k] = np.add.reduceat(scores[words.which, k], words.first[full])
+    latin = np.r_[0, np.cumsum(_LETTER[words.raw] & (words.raw < 0x80))]
+    known = np.diff(latin[words.offsets]) > 0
+    for i in np.flatnonzero((n > 0) & ~known):  # no A-Z: is any of the other signs a letter?
+        known[i] = any(map(str.isalpha, words.raw[words.offsets[i] : words.offsets[i + 1]].tobytes().decode()))
+    best = total.argmax(axis=1)
+    score = 1 / np.exp(total - total[np.arange(len(n)), best][:, None]).sum(axis=1)
+    return [languages[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())], np.where(known, score, 0.0)
+
+
 def _predict(model):
     def make(batches):
-        languages = model.value.languages
         for batch in slices(batches):
-            words = _Words(column(batch, "text"))
-            scores = np.zeros((len(words.one), len(languages)))
-            for at, table in words.by_length():
-                scores[at] = model.value.log_scores(table)
-            n = np.diff(words.first)
-            total = np.zeros((len(n), len(languages)))
-            full = np.flatnonzero(n)
-            if len(full):
-                for k in range(len(languages)):
-                    total[full, k] = np.add.reduceat(scores[words.which, k], words.first[full])
-            latin = np.r_[0, np.cumsum(_LETTER[words.raw] & (words.raw < 0x80))]
-            known = np.diff(latin[words.offsets]) > 0
-            for i in np.flatnonzero((n > 0) & ~known):  # no A-Z: is any of the other signs a letter?
-                known[i] = any(map(str.isalpha, words.raw[words.offsets[i] : words.offsets[i + 1]].tobytes().decode()))
-            best = total.argmax(axis=1)
-            score = 1 / np.exp(total - total[np.arange(len(n)), best][:, None]).sum(axis=1)
-            lang = [languages[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())]
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "held_out"), pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0))], schema=_OUT)
+            lang, score = _judged(model.value, column(batch, "text"))
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "held_out"), pa.array(lang, pa.string()), pa.array(score)], schema=_OUT)
 
     return make
 
 
+def _accept(model, least: float):
+    def make(batches):
+        for batch in slices(batches):
+            lang, score = _judged(model.value, column(batch, "text"))
+            yield batch.filter(pa.array((np.array(lang, object) != "und") & (score >= least)))
+
+    return make
+
+
+def _training(docs: DataFrame, folds: int) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    return rows.where(F.crc32(F.col("doc_id").cast("string")) % folds != HELD_OUT)
+
+
+def keep_identified(docs: DataFrame, least: float = 0.5, path: str | None = None, folds: int = 4) -> DataFrame:
+    """The rows, as they are, of texts in a learned language with a score of at least ``least``."""
+    model = learn(_training(docs, folds), path or vocabulary())
+    if model is None:
+        return docs.where("false")
+    return docs.mapInArrow(_accept(docs.sparkSession.sparkContext.broadcast(model), least), docs.schema)
+
+
 def identify(docs: DataFrame, path: str | None = None, folds: int = 4) -> DataFrame:
     """Language of every text, learned from rows with a lang whose crc32(doc_id) mod ``folds`` is not 2.
 
@@ -247,7 +274,7 @@ def identify(docs: DataFrame, path: str | None = None, folds: int = 4) -> DataFr
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == HELD_OUT, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", held.alias("held_out"))
-    model = learn(rows.where("not held_out"), path or vocabulary())
+    model = learn(_training(docs, folds), path or vocabulary())
     if model is None:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast(model)  # bounded by the vocabulary

@@ -265,3 +265,9 @@ def join_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     out = rows.select("doc_id", *sig).join(label, sig, "left").join(own, "doc_id", "left")
     id_, label = F.col("doc_id"), F.coalesce("label", "component", "doc_id")
     return out.select(F.nullif(id_, F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(label, F.lit(NO_ID)).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
+    """The rows, as they are, whose doc_id is the smallest of its component; rows with one doc_id stay or go together."""
+    out = join_documents(docs, n, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(out, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")

@@ -236,45 +236,61 @@ def _suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return plain, foreign | hinted
 
 
-_OUT_FIELDS = [("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64()), ("redacted", pa.string())]
+_OUT_FIELDS = [("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())]
 _OUT = pa.schema(_OUT_FIELDS)
-_DDL = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, redacted string"
+_DDL = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
 
 def _listed(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def _find(with_text: bool):
-    nothing = hashlib.sha256(b"").hexdigest()
-
-    def make(batches):
-        for batch in slices(batches):
-            data, offsets = text_bytes(column(batch, "text"))
-            plain_here, suspect = _suspects(data, offsets)
-            rows = []
-            for i, id_ in enumerate(column(batch, "doc_id").to_pylist()):
-                row = {"doc_id": id_, "n_email": 0, "n_ip": 0, "n_card": 0, "n_phone": 0, "base_sha256": nothing, "spans": "", "n_added": 0}
-                if plain_here[i] or suspect[i]:
-                    text = data[offsets[i] : offsets[i + 1]].tobytes().decode()
-                    plain, every = all_spans(text, bool(suspect[i]))
-                    for kind, _, _ in plain:
-                        row[f"n_{kind}"] += 1
-                    row |= {"base_sha256": hashlib.sha256(_listed(plain).encode()).hexdigest(), "spans": _listed(every), "n_added": len(every) - len(plain)}
-                    if with_text and every:
-                        row["redacted"] = redacted(text, every)
-                rows.append(row)
-            yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
-
-    return make
-
-
-def find_private(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def _found(texts: pa.Array) -> Iterator[tuple[str, list[Span], list[Span]] | None]:
+    """Of each text: itself, plain and all finds; None where there can be no find."""
+    data, offsets = text_bytes(texts)
+    plain_here, suspect = _suspects(data, offsets)
+    for i in range(len(texts)):
+        if plain_here[i] or suspect[i]:
+            text = data[offsets[i] : offsets[i + 1]].tobytes().decode()
+            yield text, *all_spans(text, bool(suspect[i]))
+        else:
+            yield None
+
+
+def _find(batches):
+    nothing = {"n_email": 0, "n_ip": 0, "n_card": 0, "n_phone": 0, "base_sha256": hashlib.sha256(b"").hexdigest(), "spans": "", "n_added": 0}
+    for batch in slices(batches):
+        rows = []
+        for id_, found in zip(column(batch, "doc_id").to_pylist(), _found(column(batch, "text"))):
+            row = {"doc_id": id_, **nothing}
+            if found:
+                _, plain, every = found
+                for kind, _, _ in plain:
+                    row[f"n_{kind}"] += 1
+                row |= {"base_sha256": hashlib.sha256(_listed(plain).encode()).hexdigest(), "spans": _listed(every), "n_added": len(every) - len(plain)}
+            rows.append(row)
+        yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
+
+
+def _redact(batches):
+    for batch in slices(batches):
+        texts = column(batch, "text")
+        new = {i: redacted(found[0], found[2]) for i, found in enumerate(_found(texts)) if found and found[2]}
+        if new:
+            texts = pa.array([new.get(i, t) for i, t in enumerate(texts.to_pylist())], pa.string())
+            batch = batch.set_column(batch.schema.get_field_index("text"), "text", texts)
+        yield batch
+
+
+def find_private(docs: DataFrame) -> DataFrame:
     """Spans of personal data in every text.
 
     Returns doc_id, n_email, n_ip, n_card, n_phone (plain finds), base_sha256 (of the plain finds' list), spans (all
-    finds as kind:start:end, comma-joined), n_added (finds in disguise); with_text: also ``redacted``, the text with finds
-    replaced (null: nothing was found).
+    finds as kind:start:end, comma-joined), n_added (finds in disguise).
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find(with_text), _DDL)
-    return rows if with_text else rows.drop("redacted")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find, _DDL)
+
+
+def without_private(docs: DataFrame) -> DataFrame:
+    """The rows with every find in ``text`` replaced by the name of its kind."""
+    return docs.mapInArrow(_redact, docs.schema)

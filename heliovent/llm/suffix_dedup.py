@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from heliovent.llm import exchange as ex
 from heliovent.llm import storage
@@ -44,7 +45,7 @@ _PLACE = U64((1 << 22) - 1)
 _SLICE = 1 << 17  # bytes at a time, so that temporaries stay in the cache
 
 _PIECES = pa.schema([*ex.REQUEST_ARROW])
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
 
 def _slices(offsets: np.ndarray, length: int):
@@ -85,7 +86,7 @@ class _Stretches:
     def __init__(self, table: pa.Table, length: int):
         ids = column(table, "doc_id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        self.ids = ids[order]
+        self.ids, self.order = ids[order], order
         self.data, self.offsets = text_bytes(column(table, "text").take(pa.array(order)))
         parts = [(np.zeros(0, np.int64),) * 4 + (np.zeros(0, U64),)]
         for a, b, base, high in _slices(self.offsets, length):
@@ -305,10 +306,12 @@ def _search(length: int):
     return make
 
 
-def _remove(parts: int, length: int, with_text: bool):
+def _remove(parts: int, length: int, schema: pa.Schema | None):
+    """schema: of rows to return with their text replaced; None: what was removed."""
+
     def make(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return ex.rows_table([], _OUT)
+            return ex.rows_table([], schema or _OUT)
         x = _Stretches(table, length)
         change = np.zeros(len(x.data) + 1, np.int32)
         if answers.num_rows:
@@ -335,22 +338,34 @@ def _remove(parts: int, length: int, with_text: bool):
         gone = np.diff(total[x.offsets])
         kept, at = x.data[~removed].tobytes(), (x.offsets - total[x.offsets]).tolist()
         texts = [kept[a:b] for a, b in zip(at[:-1], at[1:])]
+        if schema is not None:
+            row = column(table, "row").take(pa.array(x.order)).flatten()
+            text = pa.array([t.decode(errors="ignore") for t in texts], pa.string())
+            return pa.table([text if f.name == "text" else c for f, c in zip(schema, row)], schema=schema)
         sha = [hashlib.sha256(t).hexdigest() for t in texts]
-        return pa.table([pa.array(x.ids), pa.array(np.diff(x.offsets)), pa.array(gone), pa.array(spans), pa.array(sha), pa.array(texts if with_text else [None] * len(sha), pa.binary())], schema=_OUT)
+        return pa.table([pa.array(x.ids), pa.array(np.diff(x.offsets)), pa.array(gone), pa.array(spans), pa.array(sha)], schema=_OUT)
 
     return make
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False) -> DataFrame:
-    """Remove every byte covered by a ``length``-byte string that also starts in a document with a smaller doc_id.
-
-    Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with_text: also ``kept``, the bytes that stay.
-    """
-    docs = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    blocks = storage.Blocks(storage.clean_text(docs))
+def _removed(docs: DataFrame, length: int, schema: pa.Schema | None, ddl) -> DataFrame:
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([F.struct("*").alias("row")] if schema else []))
+    blocks = storage.Blocks(rows)
     parts = blocks.parts
     labels = storage.stored(blocks.ask(_key_requests(parts, length), ex.REQUEST).groupBy("part").applyInArrow(_label, ex.ANSWER))
     found = blocks.with_answers(labels, _piece_requests(parts, length), ex.REQUEST).groupBy("part").applyInArrow(_search(length), ex.ANSWER)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    out = blocks.with_answers(labels.union(found), _remove(parts, length, with_text), schema)
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []))
+    return blocks.with_answers(labels.union(found), _remove(parts, length, schema), ddl)
+
+
+def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """Remove every byte covered by a ``length``-byte string that also starts in a document with a smaller doc_id.
+
+    Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the bytes that stay).
+    """
+    out = _removed(docs, length, None, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
+def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """The rows with what remove_repeats removes taken out of ``text``; characters cut in part go as well."""
+    return _removed(docs, length, to_arrow_schema(docs.schema), docs.schema)
