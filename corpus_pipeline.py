@@ -1,20 +1,72 @@
-"""The training-data pipeline: each stage's rows are written and read again as the next one's documents."""
+"""The training-data pipeline: each stage's rows are written and read again as the next one's documents.
+
+All stages but the last return the columns of documents; n_chars follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from heliovent.llm.language_id import keep_identified
+from heliovent.llm.ngram_join import one_of_each
+from heliovent.llm.packing import pack_documents
+from heliovent.llm.pii import without_private
 from heliovent.llm.queries import importable
 from heliovent.llm.storage import stored
+from heliovent.llm.suffix_dedup import without_repeats
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages learned from the labelled ones go on."""
+    importable(spark)
+    return keep_identified(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by word n-grams the first goes on."""
+    importable(spark)
+    return one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are taken out."""
+    importable(spark)
+    return _counted(without_repeats(docs))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data give way to the names of their kinds."""
+    importable(spark)
+    return _counted(without_private(docs))
 
-STAGES: list = []
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences for training."""
+    importable(spark)
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("language", language),
+    ("near_copies", near_copies),
+    ("repeated_passages", repeated_passages),
+    ("private_data", private_data),
+    ("sequences", sequences),
+]
 
 ORACLE_SQL = None  # several stages cannot be said in SQL; tests hold run() against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
+    """All stages over the whole table of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
