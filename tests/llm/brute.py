@@ -1,0 +1,120 @@
+"""What the operators must return, by plain loops over all rows."""
+
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def words(text):
+    return WORD.findall(lower(text or ""))
+
+
+class Groups:
+    def __init__(self):
+        self.up = {}
+
+    def find(self, x):
+        self.up.setdefault(x, x)
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+def shingles(text, n=5):
+    w = words(text)
+    if len(w) < n:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+
+
+def linked(a, b, percent=75):
+    return bool(a and b) and 100 * len(a & b) >= percent * len(a | b)
+
+
+def jaccard_components(rows, no_id):
+    sets = [((no_id if i is None else i), shingles(t)) for i, t in rows]
+    by = defaultdict(list)
+    for k, (_, s) in enumerate(sets):
+        for g in s:
+            by[g].append(k)
+    groups, pairs = Groups(), set()
+    for ks in by.values():
+        pairs.update((a, b) for a in ks for b in ks if a < b)
+    for a, b in pairs:
+        if linked(sets[a][1], sets[b][1]):
+            groups.join(sets[a][0], sets[b][0])
+    return [(i, len(s), groups.find(i)) for i, s in sets]
+
+
+def removed(rows, no_id, length=50):
+    """(doc_id, flags of removed bytes) of each row."""
+    first = {}
+    data = [((no_id if i is None else i), (t or "").encode()) for i, t in rows]
+    for i, b in data:
+        for k in range(len(b) - length + 1):
+            w = b[k : k + length]
+            first[w] = min(i, first.get(w, i))
+    out = []
+    for i, b in data:
+        gone = bytearray(len(b))
+        for k in range(len(b) - length + 1):
+            if first[b[k : k + length]] < i:
+                gone[k : k + length] = b"\1" * length
+        out.append((i, b, gone))
+    return out
+
+
+def quality(text):
+    text = text or ""
+    w = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    grams = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    count, covered = Counter(grams), set()
+    for i, g in enumerate(grams):
+        if count[g] > 1:
+            covered.update(range(i, i + 5))
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def private(text):
+    out = []
+    if "@" not in text and not re.search("[0-9]", text):
+        return out
+    for kind, pattern in PATTERNS.items():
+        if kind == "email" and "@" not in text:
+            continue
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(x) > 255 for x in m[0].split(".")):
+                continue
+            if kind == "card" and not (13 <= len(d) <= 19 and luhn(d)):
+                continue
+            if kind == "phone" and not 9 <= len(d) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out

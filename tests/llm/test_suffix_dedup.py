@@ -1,0 +1,84 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from heliovent.llm import suffix_dedup as sd
+from heliovent.llm.suffix_array import suffix_array
+from tests.llm import brute
+
+
+@given(st.lists(st.integers(0, 3), max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_suffix_array_orders_all_suffixes(text):
+    assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+@pytest.mark.parametrize("text", [[], [5], [1] * 50, [1, 2] * 30, [2, 1] * 30, list(range(40)), list(range(40, 0, -1))])
+def test_suffix_array_of_regular_texts(text):
+    assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def expected(rows):
+    out = []
+    for i, b, gone in brute.removed(rows, sd.NO_ID):
+        spans = sum(1 for k in range(len(gone)) if gone[k] and not (k and gone[k - 1]))
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        out.append((None if i == sd.NO_ID else i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_removal_equals_plain_loops(docs, rows):
+    assert sorted(map(tuple, sd.remove_repeats(docs).collect()), key=repr) == expected(rows)
+
+
+def near_copies():
+    text = "".join(chr(97 + (i * i * 7 + i // 3) % 26) if i % 6 else " " for i in range(900))
+    rows = [(0, text)]
+    for k in range(1, 30):
+        at = 31 * k % 850
+        rows.append((k, text[:at] + f"<{k}>" + text[at + 2 :]))
+    return [*rows, (50, text[100:160] + text[500:700]), (51, "abcab" * 60), (52, "abcab" * 40), (53, "é" * 200), (54, "é" * 90)]
+
+
+@pytest.mark.parametrize(("hot", "most", "piece"), [(512, 1 << 18, 4096), (2, 1 << 18, 4096), (512, 500, 64), (512, 100, 4096)])
+def test_every_way_to_cut_labels_gives_the_same(spark, monkeypatch, hot, most, piece):
+    for name, value in (("HOT", hot), ("MOST", most), ("PIECE", piece)):
+        monkeypatch.setattr(sd, name, value)
+    rows = near_copies()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    # the settings reach tasks only by value, so run the parts here
+    import pyarrow as pa
+
+    from heliovent.llm import exchange as ex
+
+    parts = 3
+    blocks = [pa.table({"block_id": [n] * len(part), "doc_id": [i for i, _ in part], "text": [t for _, t in part]}) for n, part in enumerate((rows[::2], rows[1::2]))]
+
+    def dealt(tables):
+        every = pa.concat_tables(tables)
+        return [every.filter(pa.compute.equal(every["part"], p)) for p in set(every["part"].to_pylist())]
+
+    def own(tables, n):
+        every = pa.concat_tables(tables)
+        return every.filter(pa.compute.equal(every["block_id"], n))
+
+    labels = [sd._label(t) for t in dealt([sd._key_requests(parts, 50)(b) for b in blocks])]
+    asked = [sd._piece_requests(parts, 50)(b, own(labels, n)) for n, b in enumerate(blocks)]
+    found = [sd._search(50)(t) for t in dealt(asked)]
+    got = [sd._remove(parts, 50, None)(b, own(labels + found, n)) for n, b in enumerate(blocks)]
+    assert sorted((tuple(r.values()) for t in got for r in t.to_pylist()), key=repr) == expected(rows)
+    assert ex.REQUEST and frame.count() == len(rows)
+
+
+def test_rows_keep_their_columns(docs, rows):
+    got = sd.without_repeats(docs)
+    assert got.columns == docs.columns and got.schema == docs.schema
+    want = sorted((repr(None if i == sd.NO_ID else i), bytes(c for c, g in zip(b, gone) if not g).decode(errors="ignore")) for i, b, gone in brute.removed(rows, sd.NO_ID))
+    assert sorted((repr(r.doc_id), r.text) for r in got.select("doc_id", "text").collect()) == want
+
+
+def test_empty_table(nothing):
+    assert sd.remove_repeats(nothing).count() == 0
+    assert sd.without_repeats(nothing).count() == 0
