@@ -185,8 +185,10 @@ def _count_words(batches):
 def learn(docs: DataFrame, path: str, rounds: int = ROUNDS) -> PieceModel | None:
     """Piece probabilities of each language of the labelled rows (doc_id, text, lang) given; None without any."""
     labelled = docs.where("lang is not null and text is not null and doc_id is not null")
-    sizes = labelled.where(F.octet_length("text") <= SAMPLE_BYTES).groupBy("lang").agg(F.count("*").alias("n"))
-    chosen = labelled.where(F.octet_length("text") <= SAMPLE_BYTES).join(sizes, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("n") < 1_000_000 * SAMPLE)
+    labelled = labelled.where(F.octet_length("text") <= SAMPLE_BYTES)
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language of the model
+    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], SAMPLE / r["n"]))) if sizes else F.lit(None)
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * share[F.col("lang")]) if sizes else labelled
     rows = chosen.select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(rows["lang"].to_pylist()))
     if not languages:
