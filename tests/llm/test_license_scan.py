@@ -1,0 +1,64 @@
+import re
+
+import pytest
+
+from heliovent.llm import license_scan as ls
+
+WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
+
+
+def bigrams(text):
+    words = WORD.findall(text.encode().lower())
+    return set(zip(words, words[1:]))
+
+
+TEMPLATES = [(n, bigrams(t)) for n, t in ls.TEMPLATES]
+
+
+def expected(text):
+    passages, paragraph = {text, *text.split("\n")}, []
+    for line in [*text.split("\n"), ""]:
+        if line.strip(" \t\r\n\v\f"):
+            paragraph.append(line)
+        else:
+            passages.add("\n".join(paragraph))
+            paragraph = []
+    found = []
+    for own in map(bigrams, passages):
+        if own:
+            dice, name = min((-2 * len(own & s) / (len(own) + len(s)), n) for n, s in TEMPLATES)
+            if -dice >= ls.LEAST:
+                found.append((dice, name))
+    top = min(found, default=(0.0, None))
+    return top[1], round(abs(top[0]), 9), ",".join(sorted({n for _, n in found}))
+
+
+def cases():
+    mit = ls.TEMPLATES[13][1]
+    return [
+        (1, f"About\n\n{mit}\n\nThe end"),
+        (2, mit.replace("Software", "Program")),
+        (3, "Released under\nthe MIT License."),
+        (4, "Released under the MIT license\n\n\nLicensed under the Apache License Version 2.0"),
+        (5, "released"),
+        (6, "We released it under the license of MIT"),
+        (7, f"{mit} {mit}"),
+    ]
+
+
+def test_rows_equal_plain_loops(docs, rows, spark):
+    every = docs.select("doc_id", "text").union(spark.createDataFrame(cases(), "doc_id long, text string"))
+    got = [(repr(r.doc_id), r.license, round(r.dice, 9), r.licenses) for r in ls.scan_licenses(every).collect()]
+    want = [(repr(i), *expected(t or "")) for i, t in [*rows, *cases()]]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sum(x[1] is not None for x in got) > 5
+
+
+@pytest.mark.parametrize("n", range(len(ls.TEMPLATES)))
+def test_every_template_is_its_own_best(n):
+    name, text = ls.TEMPLATES[n]
+    assert expected(text)[:2] == (name, 1.0)
+
+
+def test_empty_table(nothing):
+    assert ls.scan_licenses(nothing).count() == 0
