@@ -46,13 +46,13 @@ class Blocks:
     block's keys elsewhere comes back by ``block_id``, and only that side is shuffled.
     """
 
-    def __init__(self, frame: DataFrame, name: str = "text"):
+    def __init__(self, frame: DataFrame, name: str = "text", size: int = BLOCK_BYTES):
         spark = frame.sparkSession
-        size = frame.agg(F.count("*").alias("n"), F.sum(F.octet_length(name)).alias("b")).first()
-        self.rows, self.bytes = size["n"], size["b"] or 0
-        per_block = max(1, round(BLOCK_BYTES * self.rows / self.bytes)) if self.bytes else 1 << 20
+        total = frame.agg(F.count("*").alias("n"), F.sum(F.octet_length(name)).alias("b")).first()
+        self.rows, self.bytes = total["n"], total["b"] or 0
+        per_block = max(1, round(size * self.rows / self.bytes)) if self.bytes else 1 << 20
         shift = max(0, min(32, per_block.bit_length() - 1))
-        self.buckets = max(1, min(1 << 16, -(-self.bytes // BLOCK_BYTES)))
+        self.buckets = max(1, min(1 << 16, -(-self.bytes // size)))
         # parts of the key space: about a million keys each, should every eighth byte start one
         self.parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-self.bytes // (16 << 20)))
         table = f"llm_blocks_{uuid.uuid4().hex}"

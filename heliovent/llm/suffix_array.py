@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Sequence
 
 
@@ -16,67 +16,61 @@ def suffix_array(text: Sequence[int]) -> list[int]:
     order, and each group's own order is emitted in one pass: the suffixes before an emitted one, and those their
     pointers lead to, come next in their groups.
     """
-    text = [*text, -1]  # an end below every symbol
-    n = len(text)
-    members: list[list[int]] = []
-    group = [0] * n
+    n = len(text) + 1  # places from 1, and an end below every symbol; place 0 stands for none
+    group = [0] * (n + 1)
     by_symbol = defaultdict(list)
-    for i, c in enumerate(text):
+    for i, c in enumerate(text, 1):
         by_symbol[c].append(i)
-    for symbol in sorted(by_symbol):
-        for i in by_symbol[symbol]:
-            group[i] = len(members)
-        members.append(by_symbol[symbol])
+    # a group's members; one that left has another number in ``group``, and a sole member stands by itself
+    members: list = [[n], *(by_symbol[c] for c in sorted(by_symbol))]
+    for g, own in enumerate(members):
+        for i in own:
+            group[i] = g
     size = [len(x) for x in members]
     below = list(range(-1, len(members) - 1))
     above = [*range(1, len(members)), -1]
-    handled = bytearray(n)
-    smaller = [-1] * n
-    top = g = len(members) - 1
-
-    def raised(p: int, old: int, to: int) -> int:
-        """Move p to group ``to``, or to a new one just above its own."""
-        if to < 0:
-            to = len(members)
-            members.append([])
-            size.append(0)
-            below.append(old)
-            up = above[old]
-            above.append(up)
-            above[old] = to
-            if up >= 0:
-                below[up] = to
-        members[to].append(p)
-        size[to] += 1
-        size[old] -= 1
-        group[p] = to
-        return to
-
+    handled = bytearray(n + 1)
+    smaller = [0] * (n + 1)
+    g = len(members) - 1
     while g >= 0:
         own = members[g]
         if size[g] == 1:
-            for s in own:
-                if group[s] == g:
-                    break
-            members[g] = [s]
+            s = own
+            if own.__class__ is list:
+                for s in own:
+                    if group[s] == g:
+                        break
             handled[s] = 1
             p = s - 1
-            while p >= 0 and handled[p]:
+            while handled[p]:
                 p = smaller[p]
             smaller[s] = p
-            if p >= 0 and size[group[p]] > 1:
-                raised(p, group[p], -1)
+            if p:
+                old = group[p]
+                if size[old] > 1:  # to a new group of its own, just above
+                    to = len(members)
+                    members.append(p)
+                    size.append(1)
+                    size[old] -= 1
+                    up = above[old]
+                    above[old] = to
+                    if up >= 0:
+                        below[up] = to
+                    below.append(old)
+                    above.append(up)
+                    group[p] = to
         elif size[g]:
-            own = sorted(s for s in own if group[s] == g)
-            members[g] = own
+            own = [s for s in own if group[s] == g]
+            own.sort()
+            times: dict[int, int] = {}
             for s in own:
                 handled[s] = 1
                 p = s - 1
-                while p >= 0 and handled[p]:
+                while handled[p]:
                     p = smaller[p]
                 smaller[s] = p
-            times = Counter(smaller[s] for s in own)
-            times.pop(-1, None)
+                times[p] = times.get(p, 0) + 1
+            times.pop(0, None)
             by_times = defaultdict(list)
             for p, k in times.items():
                 by_times[k].append(p)
@@ -84,26 +78,40 @@ def suffix_array(text: Sequence[int]) -> list[int]:
                 new: dict[int, int] = {}
                 for p in by_times[k]:
                     old = group[p]
-                    new[old] = raised(p, old, new.get(old, -1))
+                    to = new.get(old)
+                    if to is None:
+                        if size[old] == 1:
+                            continue
+                        to = new[old] = len(members)
+                        members.append([])
+                        size.append(0)
+                        up = above[old]
+                        above[old] = to
+                        if up >= 0:
+                            below[up] = to
+                        below.append(old)
+                        above.append(up)
+                    members[to].append(p)
+                    size[to] += 1
+                    size[old] -= 1
+                    group[p] = to
         g = below[g]
 
-    while above[top] >= 0:
-        top = above[top]
-    place, at, g = [0] * len(members), n, top
+    place, at, g = [0] * len(members), 0, 0
     while g >= 0:
-        at -= size[g]
         place[g] = at
-        g = below[g]
-    out = [-1] * n
-    out[0] = n - 1
-    emitted = bytearray(n)
-    emitted[n - 1] = 1
+        at += size[g]
+        g = above[g]
+    out = [0] * n
+    out[0] = n
+    emitted = bytearray(n + 1)
+    emitted[0] = emitted[n] = 1
     for i in range(n):
         p = out[i] - 1
-        while p >= 0 and not emitted[p]:
+        while not emitted[p]:
             emitted[p] = 1
             g = group[p]
             out[place[g]] = p
             place[g] += 1
             p = smaller[p]
-    return out[1:]
+    return [i - 1 for i in out[1:]]

@@ -35,7 +35,7 @@ from heliovent.llm import storage
 from heliovent.llm.suffix_array import suffix_array
 from heliovent.llm.text import U64, column, gather, mix, powers, prefix_sums, runs, span_hashes, text_bytes
 
-GRAM = 20
+GRAM = 30
 UNIT = 256
 HOT = 512
 MOST = 1 << 18
@@ -350,8 +350,8 @@ def _remove(parts: int, length: int, schema: pa.Schema | None):
 
 def _removed(docs: DataFrame, length: int, schema: pa.Schema | None, ddl) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([F.struct("*").alias("row")] if schema else []))
-    blocks = storage.Blocks(rows)
-    parts = blocks.parts
+    blocks = storage.Blocks(rows, size=6 << 20)
+    parts = 4 * blocks.parts
     labels = storage.stored(blocks.ask(_key_requests(parts, length), ex.REQUEST).groupBy("part").applyInArrow(_label, ex.ANSWER))
     found = blocks.with_answers(labels, _piece_requests(parts, length), ex.REQUEST).groupBy("part").applyInArrow(_search(length), ex.ANSWER)
     return blocks.with_answers(labels.union(found), _remove(parts, length, schema), ddl)
