@@ -2,7 +2,7 @@
 
 Rounding in the SQL:
   per record  half up on the decimal text of the double (what Spark's ``round`` does)
-  aggregates  through 10 decimals, like ``stable_round``
+  aggregates  sums of whole 10^-8 units (10^-2 for the indices), divided once, half up
 """
 
 from __future__ import annotations
@@ -16,6 +16,18 @@ def _stable(x: str, digits: int = 2) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
+def _mean(x: str, digits: int = 2, places: int = 8) -> str:
+    """Whole units of 10^-places, summed; the quotient half up to ``digits``."""
+    total, n = f"sum(CAST(round({x} * 1e{places}) AS HUGEINT))", f"CAST(count({x}) AS HUGEINT)"
+    up, down = 10 ** max(0, digits - places), 10 ** max(0, places - digits)
+    return f"CAST(sign({total}) * ((2 * abs({total}) * {up} + {n} * {down}) // nullif(2 * {n} * {down}, 0)) AS DOUBLE) / 1e{digits}"
+
+
+def _sum(x: str) -> str:
+    total = f"sum(CAST(round({x} * 1e8) AS HUGEINT))"
+    return f"CAST(sign({total}) * ((2 * abs({total}) + 1000000) // 2000000) AS DOUBLE) / 100"
+
+
 _EVENTS = """
 e AS (
   SELECT event_id, user_id, event_type, value,
@@ -128,17 +140,17 @@ idx AS (
 _DAILY = f"""
 daily AS (
   SELECT ciudad, CAST(t AS DATE) AS fecha_solo,
-    {_stable("avg(wpi)")} AS promedio_potencial_eolico_diario,
+    {_mean("wpi", places=2)} AS promedio_potencial_eolico_diario,
     max(wpi) AS max_potencial_eolico_diario,
-    {_stable("avg(spi)")} AS promedio_potencial_solar_diario,
+    {_mean("spi", places=2)} AS promedio_potencial_solar_diario,
     max(spi) AS max_potencial_solar_diario,
-    {_stable("avg(temperatura_c)")} AS promedio_temperatura_diaria_c,
+    {_mean("temperatura_c")} AS promedio_temperatura_diaria_c,
     max(temperatura_c) AS max_temperatura_registro_c,
     min(temperatura_c) AS min_temperatura_registro_c,
-    {_stable("avg(humedad_porcentaje)")} AS promedio_humedad_diaria,
-    {_stable("sum(coalesce(lluvia_1h_mm, 0))")} AS total_precipitacion_diaria_mm,
+    {_mean("humedad_porcentaje")} AS promedio_humedad_diaria,
+    {_sum("coalesce(lluvia_1h_mm, 0)")} AS total_precipitacion_diaria_mm,
     max(velocidad_viento_m_s) AS max_velocidad_viento_m_s,
-    {_stable("avg(nubes_porcentaje)")} AS promedio_nubes_diario
+    {_mean("nubes_porcentaje")} AS promedio_nubes_diario
   FROM idx GROUP BY ALL
 )
 """
@@ -148,10 +160,10 @@ patterns AS (
   SELECT *, ciudad || '-' || mes_anio || '-' || hora_solo AS id_analisis_patron
   FROM (
     SELECT ciudad, strftime(t, '%Y-%m') AS mes_anio, strftime(t, '%H') AS hora_solo,
-      {_stable("avg(wpi)")} AS promedio_eolico_por_hora_mes,
-      {_stable("avg(spi)")} AS promedio_solar_por_hora_mes,
-      {_stable("avg(temperatura_c)")} AS promedio_temperatura_por_hora_mes,
-      {_stable("avg(humedad_porcentaje)")} AS promedio_humedad_por_hora_mes
+      {_mean("wpi", places=2)} AS promedio_eolico_por_hora_mes,
+      {_mean("spi", places=2)} AS promedio_solar_por_hora_mes,
+      {_mean("temperatura_c")} AS promedio_temperatura_por_hora_mes,
+      {_mean("humedad_porcentaje")} AS promedio_humedad_por_hora_mes
     FROM idx GROUP BY ALL
   )
 )
@@ -172,15 +184,15 @@ FROM patterns
 _HOURS = f"""
 hours AS (
   SELECT hora_solo,
-    {_stable("avg(promedio_eolico_por_hora_mes)", 10)} AS promedio_eolico_por_hora_mes,
-    {_stable("avg(promedio_solar_por_hora_mes)", 10)} AS promedio_solar_por_hora_mes
+    {_mean("promedio_eolico_por_hora_mes", 10)} AS promedio_eolico_por_hora_mes,
+    {_mean("promedio_solar_por_hora_mes", 10)} AS promedio_solar_por_hora_mes
   FROM patterns GROUP BY hora_solo
 )
 """
 
 _HUMIDITY = f"""
 humidity AS (
-  SELECT ciudad, {_stable("avg(promedio_humedad_diaria)", 10)} AS promedio_humedad_diaria
+  SELECT ciudad, {_mean("promedio_humedad_diaria", 10)} AS promedio_humedad_diaria
   FROM daily GROUP BY ciudad
 )
 """
@@ -196,8 +208,10 @@ _FROM_NESTED = _with(_EVENTS, _NESTED)
 
 
 def _city_means(*columns: str) -> str:
-    means = ", ".join(f"{_stable(f'avg({c})', 10)} AS {c}" for c in columns)
-    return _with(*_GOLD) + f"SELECT ciudad, {means} FROM daily GROUP BY ciudad"
+    """Means by city, and the city's place by the first of them."""
+    means = ", ".join(f"{_mean(c, 10)} AS {c}" for c in columns)
+    cities = f"SELECT ciudad, {means} FROM daily GROUP BY ciudad"
+    return _with(*_GOLD) + f"SELECT *, row_number() OVER (ORDER BY {columns[0]} DESC NULLS LAST, ciudad) AS place FROM ({cities})"
 
 
 def _top_day(section: str, metric: str, column: str, order: str, shown: str | None = None) -> str:
@@ -289,7 +303,11 @@ FROM idx
 """,
     "flatten_nested": _FROM_NESTED + "SELECT * EXCLUDE (id) FROM nested",
     "flatten_flat": _with(_EVENTS, _FLAT)
-    + "SELECT flat.*, epoch_kind FROM flat, (VALUES ('ms_bigint'), ('ms_double'), ('s_bigint')) kinds(epoch_kind)",
+    + """
+SELECT flat.* REPLACE (dt - by_seconds AS dt), epoch_kind, epoch_shift
+FROM flat, (VALUES ('ms_bigint'), ('ms_double'), ('s_by_name'), ('s_by_argument')) kinds(epoch_kind),
+  (VALUES ('as_is', 0), ('in_1970', 1704067200), ('in_1960', 2019600000)) shifts(epoch_shift, by_seconds)
+""",
     "precip_variants": _with(_EVENTS)
     + "UNION ALL".join(
         f"""
@@ -339,8 +357,19 @@ FROM obs ORDER BY timestamp_epoch, ciudad, temperatura_c LIMIT 5
 """,
     "latest_observations": _with(*_F2)
     + """
-SELECT ciudad, count(*) AS observations, count(*) AS with_rain_value
-FROM (SELECT DISTINCT ciudad, timestamp_epoch FROM obs) GROUP BY ciudad
+SELECT * REPLACE (coalesce(lluvia_1h_mm, 0) AS lluvia_1h_mm),
+  '2024' AS ingestion_year, '03' AS ingestion_month, '07' AS ingestion_day
+FROM obs
+""",
+    "scan_mixed_schema": _FROM_NESTED
+    + """
+SELECT * EXCLUDE (id, raw_temp) REPLACE (
+  CASE WHEN id % 3 = 2 THEN CAST(CAST(trunc(raw_temp) AS BIGINT) AS DOUBLE) ELSE temperatura_c END AS temperatura_c,
+  CASE WHEN id % 3 <> 1 THEN rain_1h_mm END AS rain_1h_mm,
+  CASE WHEN id % 3 <> 1 THEN snow_1h_mm END AS snow_1h_mm
+), names
+FROM (SELECT nested.*, e.temp AS raw_temp FROM nested JOIN e ON nested.id = e.event_id),
+  (VALUES ('forward'), ('backward')) orders(names)
 """,
     "scan_parquet_recursive": _with(*_F2) + "SELECT * FROM obs",
     "scan_json_multiline": _FROM_NESTED + "SELECT * EXCLUDE (id) FROM nested",
@@ -363,6 +392,12 @@ FROM (SELECT DISTINCT ciudad, timestamp_epoch FROM obs) GROUP BY ciudad
     + f"""
 SELECT {_STREAM_FIELDS}, substr(iso, 1, 4) AS year, substr(iso, 6, 2) AS month, substr(iso, 9, 2) AS day
 FROM e
+""",
+    "stream_resumed": _with(_EVENTS)
+    + """
+SELECT substr(iso, 1, 4) AS year, substr(iso, 6, 2) AS month, substr(iso, 9, 2) AS day, count(*) AS messages,
+  true AS a_file_a_batch
+FROM e GROUP BY ALL
 """,
     "payload_normalize": _with(_EVENTS)
     + """
@@ -375,10 +410,10 @@ FROM e WHERE event_id % 77 <> 0
 """,
     "publish_json": _with(_EVENTS)
     + f"""
-SELECT source, city, ts, datetime_utc, temp_c, humidity, CAST(10 AS BIGINT) AS keys
+SELECT *, CAST(10 AS BIGINT) AS keys
 FROM (SELECT {_STREAM_FIELDS} FROM e)
 """,
-    "hour_profile": _with(*_GOLD, _HOURS) + "SELECT * FROM hours",
+    "hour_profile": _with(*_GOLD, _HOURS) + "SELECT *, row_number() OVER (ORDER BY hora_solo) AS place FROM hours",
     "city_potential": _city_means("max_potencial_eolico_diario", "max_potencial_solar_diario"),
     "city_temperature": _city_means("max_temperatura_registro_c", "min_temperatura_registro_c"),
     "city_humidity": _with(*_GOLD, _HUMIDITY) + "SELECT * FROM humidity",

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogue import inputs
+from heliovent.functions import timekeys
 from heliovent.operators import gold, messages, normalise, quality, report, silver
 from heliovent.plans.jobs import run_gold, run_medallion
 from heliovent.sources import readers, writers
@@ -40,18 +41,27 @@ def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise.normalise(inputs.nested_records(spark, sf_dir))
 
 
+# What brings the records to 1970 and before: a unit told by the size of the values would be wrong there.
+EARLIER = {"as_is": 0, "in_1970": 1_704_067_200, "in_1960": 2_019_600_000}
+
+
 def flatten_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records with every spelling of the epoch."""
+    """The same records with every spelling of the epoch: each feed has its unit, whatever the values."""
     flat = inputs.flat_records(spark, sf_dir)
-    epochs = {
-        "ms_bigint": F.col("ts"),
-        "ms_double": F.col("ts").cast("double"),
-        "s_bigint": (F.col("ts") / 1000).cast("bigint"),
+    seconds = (F.col("ts") / 1000).cast("bigint")
+    feeds = {
+        "ms_bigint": (lambda s: {"ts": s * 1000}, None),
+        "ms_double": (lambda s: {"ts": (s * 1000).cast("double")}, None),
+        "s_by_name": (lambda s: {"dt": s}, None),
+        "s_by_argument": (lambda s: {"ts": s}, "s"),
     }
-    frames = [
-        normalise.normalise(flat.withColumn("ts", epoch)).withColumn("epoch_kind", F.lit(kind))
-        for kind, epoch in epochs.items()
-    ]
+    frames = []
+    for shift, by in EARLIER.items():
+        for kind, (columns, unit) in feeds.items():
+            feed = flat.withColumns(columns(seconds - by))
+            feed = feed.drop("ts") if kind == "s_by_name" else feed
+            kinds = {"epoch_kind": F.lit(kind), "epoch_shift": F.lit(shift)}
+            frames.append(normalise.normalise(feed, unit).withColumns(kinds))
     return normalise.union_sources(frames)
 
 
@@ -143,16 +153,28 @@ def latest_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = first.withColumn("lluvia_1h_mm", F.coalesce("lluvia_1h_mm", F.lit(0.0)))
     later = RUN_TS.replace(hour=17)
     runs = silver.stamp_ingestion(first, RUN_TS).unionByName(silver.stamp_ingestion(second, later))
-    latest = silver.latest_observations(runs)
-    return latest.groupBy("ciudad").agg(
-        F.count(F.lit(1)).alias("observations"),
-        F.count("lluvia_1h_mm").alias("with_rain_value"),
-    )
+    return silver.latest_observations(runs).drop("fecha_procesamiento_utc")
 
 
 # --- sources and sinks -------------------------------------------------------------------
 
 
+def scan_mixed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of unlike files: a third lack rain and snow, a third hold whole temperatures, under names in either order."""
+    records = inputs.nested_records(spark, sf_dir)
+    third = F.col("id") % 3
+    whole = records.withColumn("main", F.col("main").withField("temp", F.col("main.temp").cast("bigint")))
+    kinds = [records.where(third == 0), records.where(third == 1).drop("rain", "snow"), whole.where(third == 2)]
+    frames = []
+    for order, names in {"forward": "abc", "backward": "cba"}.items():
+        path = inputs.scratch(spark, "unlike")
+        for name, kind in zip(names, kinds):
+            kind.write.parquet(f"{path}/{name}")
+        loaded, _ = readers.load_sources(spark, parquet=[path], required=[path])
+        frames.append(loaded.withColumn("names", F.lit(order)))
+    return normalise.union_sources(frames)
+
+
 def scan_parquet_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files in nested day folders; the folder columns must not appear in the result."""
     path = inputs.scratch(spark, "raw_days")
@@ -246,6 +268,21 @@ def stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/raw")
 
 
+def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic that grows between two drains with one checkpoint, each batch written as one file a day: every message once."""
+    root = inputs.scratch(spark, "stream")
+    sent = inputs.stream_messages(spark, sf_dir)
+    early = F.crc32("value") % 2 == 0
+    topic = spark.readStream.schema(T.StructType([T.StructField("value", T.BinaryType())]))
+    for part in (early, ~early):
+        sent.where(part).write.mode("append").parquet(f"{root}/topic")
+        stream = raw.to_raw(topic.parquet(f"{root}/topic"))
+        raw.start_raw_sink(stream, f"{root}/raw", f"{root}/checkpoint", files_per_batch=1, drain=True).awaitTermination()
+    rows = spark.read.schema(stream.schema).parquet(f"{root}/raw").withColumn("file", F.input_file_name())
+    files = rows.groupBy("year", "month", "day").agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("messages"))
+    return files.select("year", "month", "day", "messages", (F.col("files") <= 2).alias("a_file_a_batch"))
+
+
 def payload_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = inputs.api_payloads(spark, sf_dir)
     return messages.normalise_payload(payloads, now_ms=F.lit(POLL_MS))
@@ -255,7 +292,10 @@ def publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of the published messages, and how many keys each has, nulls included."""
     sent = messages.as_messages(inputs.flat_records(spark, sf_dir))
     body = F.col("value").cast("string")
-    fields = "source STRING, city STRING, ts BIGINT, datetime_utc STRING, temp_c DOUBLE, humidity DOUBLE"
+    fields = (
+        "source STRING, city STRING, lat DOUBLE, lon DOUBLE, ts BIGINT, datetime_utc STRING, "
+        "temp_c DOUBLE, humidity DOUBLE, pressure DOUBLE, wind_speed DOUBLE"
+    )
     keys = F.size(F.json_object_keys(body)).cast("bigint")
     return sent.select(F.from_json(body, fields).alias("record"), keys.alias("keys")).select("record.*", "keys")
 
@@ -293,22 +333,42 @@ def hourly_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both gold tables from one aggregation."""
     rollup = gold.gold_rollup(inputs.silver_observations(spark, sf_dir))
-    return _gold_lines(gold.daily_from_rollup(rollup), gold.patterns_from_rollup(rollup))
+
+    def either(day: Column, hour: Column) -> Column:
+        return F.when(F.col("is_daily"), day).otherwise(hour)
+
+    hours = {x: F.col(f"promedio_{x}_por_hora_mes") for x in ("eolico", "solar", "temperatura", "humedad")}
+    return rollup.select(
+        either(F.lit("daily"), F.lit("patterns")).alias("tabla"),
+        "ciudad",
+        either(F.col("fecha_solo").cast("string"), timekeys.month_text(F.col("mes"))).alias("periodo"),
+        either(F.lit(None), timekeys.hour_text(F.col("hora"))).alias("hora"),
+        either(F.col("promedio_potencial_eolico_diario"), hours["eolico"]).alias("eolico"),
+        either(F.col("promedio_potencial_solar_diario"), hours["solar"]).alias("solar"),
+        either(F.col("promedio_temperatura_diaria_c"), hours["temperatura"]).alias("temperatura"),
+        either(F.col("promedio_humedad_diaria"), hours["humedad"]).alias("humedad"),
+        either(F.col("total_precipitacion_diaria_mm"), F.lit(None)).alias("lluvia"),
+    )
 
 
 # --- report ------------------------------------------------------------------------------
 
 
+def _numbered(ranked: DataFrame) -> DataFrame:
+    """The place of each row in a sorted frame, a few rows to a city or hour."""
+    return ranked.withColumn("place", F.monotonically_increasing_id()).withColumn("place", F.dense_rank().over(Window.orderBy("place")).cast("bigint"))
+
+
 def hour_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.rank_hours(report.hour_profile(_patterns(spark, sf_dir)))
+    return _numbered(report.rank_hours(report.hour_profile(_patterns(spark, sf_dir))))
 
 
 def city_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.rank_cities(report.city_potential(_daily(spark, sf_dir)), "max_potencial_eolico_diario")
+    return _numbered(report.rank_cities(report.city_potential(_daily(spark, sf_dir)), "max_potencial_eolico_diario"))
 
 
 def city_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.rank_cities(report.city_temperature(_daily(spark, sf_dir)), "max_temperatura_registro_c")
+    return _numbered(report.rank_cities(report.city_temperature(_daily(spark, sf_dir)), "max_temperatura_registro_c"))
 
 
 def city_humidity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,7 +389,11 @@ def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def energy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.energy_report(_daily(spark, sf_dir), _patterns(spark, sf_dir))
+    """Both gold tables from one aggregation, kept in the shared folder, then all findings from them."""
+    path = inputs.scratch(spark, "rollup")
+    gold.gold_rollup(inputs.silver_observations(spark, sf_dir)).write.parquet(path)
+    rollup = spark.read.parquet(path)
+    return report.energy_report(gold.daily_from_rollup(rollup), gold.patterns_from_rollup(rollup))
 
 
 QUERIES: dict[str, Query] = {
@@ -351,6 +415,7 @@ QUERIES: dict[str, Query] = {
         empty_gate,
         preview,
         latest_observations,
+        scan_mixed_schema,
         scan_parquet_recursive,
         scan_json_multiline,
         silver_roundtrip,
@@ -358,6 +423,7 @@ QUERIES: dict[str, Query] = {
         medallion_tables,
         stream_parse,
         stream_to_raw,
+        stream_resumed,
         payload_normalize,
         publish_json,
         hour_profile,

@@ -1,6 +1,6 @@
 """Weather observations to wind and solar potential, as Spark jobs."""
 
-from heliovent.plans.jobs import SilverRun, run_gold, run_medallion, run_report, run_silver
+from heliovent.plans.jobs import SilverRun, chart_tables, run_gold, run_medallion, run_report, run_silver
 from heliovent.streaming.raw import run_raw_stream
 
-__all__ = ["SilverRun", "run_gold", "run_medallion", "run_raw_stream", "run_report", "run_silver"]
+__all__ = ["SilverRun", "chart_tables", "run_gold", "run_medallion", "run_raw_stream", "run_report", "run_silver"]

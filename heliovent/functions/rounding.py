@@ -1,9 +1,7 @@
-"""Rounding.
+"""Rounding, and means and sums that do not depend on the order of their parts.
 
-``round_cents`` is for values of one record, ``stable_round`` for aggregates. A sum of
-doubles depends on the order in which partial sums arrive, so a mean that sits on a tie
-(x.xx5) could go either way from one run to the next; ``stable_round`` drops that noise by
-passing through 10 decimals first.
+``round_cents`` is for values of one record, ``stable_round`` for results of inexact arithmetic. A sum of doubles depends on
+the order in which partial sums arrive, so ``exact_mean`` and ``exact_sum`` add decimals and divide or round once.
 """
 
 from __future__ import annotations
@@ -35,6 +33,23 @@ def stable_round(x: Column, digits: int = 2) -> Column:
     return F.coalesce(F.round(x.try_cast(_NOISE_FREE), digits).cast("double"), x)
 
 
-def stable_mean(x: Column, digits: int = 10) -> Column:
-    """Mean that is the same for every partitioning of the input."""
-    return stable_round(F.avg(x), digits)
+def _decimals(x: Column, places: int) -> Column:
+    """Each value as a decimal that fits a long, so that adding them stays cheap; NULL where it does not fit."""
+    return x.try_cast(f"decimal(18,{places})")
+
+
+def _where_all_fit(x: Column, parts: Column, exact: Column, otherwise: Column) -> Column:
+    """``exact`` unless some value had no decimal (NaN, infinity, very large), which must not be left out."""
+    return F.when(F.count(x) == F.count(parts), exact).otherwise(otherwise)
+
+
+def exact_mean(x: Column, digits: int = 2, places: int = 8) -> Column:
+    """Mean, half up, that is the same for every partitioning: values count to ``places`` decimals."""
+    parts = _decimals(x, places)
+    exact = F.round(F.sum(parts) / F.count(parts), digits).cast("double")
+    return _where_all_fit(x, parts, exact, stable_round(F.avg(x), digits))
+
+
+def exact_sum(x: Column, digits: int = 2, places: int = 8) -> Column:
+    parts = _decimals(x, places)
+    return _where_all_fit(x, parts, F.round(F.sum(parts), digits).cast("double"), stable_round(F.sum(x), digits))

@@ -30,17 +30,29 @@ def hour_text(hour: Column) -> Column:
 
 
 def month_text(date: Column) -> Column:
-    return F.date_format(date, "yyyy-MM")
+    return F.concat(year_text(date), F.lit("-"), _two(F.month(date)))
 
 
-def epoch_seconds(column: Column, type_name: str) -> Column:
-    """Epoch seconds from a column holding seconds or milliseconds.
+def year_text(date: Column) -> Column:
+    return F.lpad(F.year(date).cast("string"), 4, "0")
 
-    Floating-point epochs are milliseconds by convention of the feeds. Integral ones are
-    milliseconds when at or beyond 1e11, which as seconds would be the year 5138.
-    """
-    if type_name in ("double", "float"):
-        return (column / 1000).try_cast("bigint")
-    whole = column.try_cast("bigint")
-    milliseconds = F.abs(whole.cast("double")) >= 1e11
-    return F.when(milliseconds, (whole / 1000).cast("bigint")).otherwise(whole)
+
+def _two(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 2, "0")
+
+
+def utc_text(epoch: Column, between: str = " ", after: str = "") -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of epoch seconds, in UTC whatever the session zone."""
+    date = utc_date(epoch)
+    second = F.pmod(epoch, F.lit(HOUR)).cast("int")
+    days = F.concat_ws("-", year_text(date), _two(F.month(date)), _two(F.day(date)))
+    clock = F.concat_ws(":", hour_text(utc_hour(epoch)), _two(F.floor(second / 60)), _two(second % 60))
+    # concat is NULL where a part is, unlike concat_ws
+    return F.when(date.isNotNull(), F.concat(days, F.lit(between), clock, F.lit(after)))
+
+
+def epoch_seconds(column: Column, unit: str) -> Column:
+    """Whole epoch seconds from a column in ``unit`` (``s`` or ``ms``); the values do not decide."""
+    if unit not in ("s", "ms"):
+        raise ValueError(f"an epoch is in s or ms, not {unit}")
+    return ((column / 1000) if unit == "ms" else column).try_cast("bigint")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliovent.functions.energy import solar_index, wind_index
-from heliovent.functions.rounding import stable_round
+from heliovent.functions.rounding import exact_mean, exact_sum
 from heliovent.functions.timekeys import hour_text, month_start, month_text, utc_date, utc_hour
 from heliovent.schemas import GOLD_DAILY, GOLD_PATTERNS
 
@@ -56,10 +56,10 @@ def _keyed(silver: DataFrame) -> DataFrame:
 # Each mean is used by both tables; in a shared pass Spark computes it once.
 def _shared_means() -> dict[str, Column]:
     return {
-        "eolico": stable_round(F.avg("potencial_eolico_index")),
-        "solar": stable_round(F.avg("potencial_solar_index")),
-        "temperatura": stable_round(F.avg("temperatura_c")),
-        "humedad": stable_round(F.avg("humedad_porcentaje")),
+        "eolico": exact_mean(F.col("potencial_eolico_index"), places=2),  # the indices are cents
+        "solar": exact_mean(F.col("potencial_solar_index"), places=2),
+        "temperatura": exact_mean(F.col("temperatura_c")),
+        "humedad": exact_mean(F.col("humedad_porcentaje")),
     }
 
 
@@ -75,9 +75,9 @@ def _daily_aggregates() -> list[Column]:
         F.max("temperatura_c").alias("max_temperatura_registro_c"),
         F.min("temperatura_c").alias("min_temperatura_registro_c"),
         mean["humedad"].alias("promedio_humedad_diaria"),
-        stable_round(F.sum(rain)).alias("total_precipitacion_diaria_mm"),
+        exact_sum(rain).alias("total_precipitacion_diaria_mm"),
         F.max("velocidad_viento_m_s").alias("max_velocidad_viento_m_s"),
-        stable_round(F.avg("nubes_porcentaje")).alias("promedio_nubes_diario"),
+        exact_mean(F.col("nubes_porcentaje")).alias("promedio_nubes_diario"),
     ]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heliovent.functions.timekeys import utc_date, utc_text, year_text
 from heliovent.schemas import STREAM_RECORD
 
 # The parts of the API answer that are used; their entries are all numbers. Maps, because a key
@@ -41,14 +42,13 @@ def normalise_payload(
     def number(part: str, key: str) -> Column:
         return F.try_element_at(F.col(part), F.lit(key))
 
-    observed = F.timestamp_seconds(F.col("dt"))
     return parsed.filter(complete).select(
         F.lit(source).alias("source"),
         F.col("name").alias("city"),
         number("coord", "lat").alias("lat"),
         number("coord", "lon").alias("lon"),
         now_ms.cast("bigint").alias("ts"),
-        F.date_format(observed, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime_utc"),
+        utc_text(F.col("dt"), "T", "Z").alias("datetime_utc"),
         number("main", "temp").alias("temp_c"),
         number("main", "humidity").alias("humidity"),
         number("main", "pressure").alias("pressure"),
@@ -75,12 +75,13 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
 
 def add_day_partitions(records: DataFrame) -> DataFrame:
-    """``year``, ``month``, ``day`` of the observation as zero-padded text; NULL if unreadable."""
-    observed = F.try_to_timestamp(F.col("datetime_utc"))
-    return records.withColumns(
-        {
-            "year": F.date_format(observed, "yyyy"),
-            "month": F.date_format(observed, "MM"),
-            "day": F.date_format(observed, "dd"),
-        }
-    )
+    """``year``, ``month``, ``day`` of the observation in UTC as zero-padded text; NULL if unreadable.
+
+    A time without a zone is taken as UTC.
+    """
+    text = F.col("datetime_utc")
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]{3,})\s*$") & ~text.rlike(r"^\s*\d{4}-\d{1,2}(-\d{1,2})?\s*$"), text)
+    date_only = F.when(text.rlike(r"^\s*\d{4}(-\d{1,2}){0,2}\s*$"), F.concat(text, F.lit("T00:00:00Z")))
+    observed = F.coalesce(F.try_to_timestamp(zoned), F.try_to_timestamp(F.concat(F.trim(text), F.lit("Z"))), F.try_to_timestamp(date_only))
+    date = utc_date(F.unix_seconds(observed))
+    return records.withColumns({"year": year_text(date), "month": F.lpad(F.month(date).cast("string"), 2, "0"), "day": F.lpad(F.day(date).cast("string"), 2, "0")})

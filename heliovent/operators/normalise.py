@@ -107,17 +107,26 @@ def flatten_nested(df: DataFrame) -> DataFrame:
     return ensure_columns(df.withColumns(flat).drop(*spent), _OPTIONAL_FLAT)
 
 
-def _flat_epoch(schema: T.StructType) -> Column:
+# The unit of each time column that a flat feed may have.
+EPOCH_UNITS = {"dt": "s", "ts": "ms"}
+
+
+def epoch_unit(schema: T.StructType, name: str) -> str:
+    """Unit of a feed's time column: floating-point ones are milliseconds, else it goes by the name."""
+    return "ms" if schema[name].dataType.typeName() in ("double", "float") else EPOCH_UNITS[name]
+
+
+def _flat_epoch(schema: T.StructType, unit: str | None) -> Column:
     found = [
-        epoch_seconds(nested_field([name]), lookup_type(schema, [name]).typeName())
-        for name in ("dt", "ts")
+        epoch_seconds(nested_field([name]), unit or epoch_unit(schema, name))
+        for name in EPOCH_UNITS
         if lookup_type(schema, [name]) is not None
     ]
     return F.coalesce(*found) if found else typed_null("bigint")
 
 
-def flatten_flat(df: DataFrame) -> DataFrame:
-    """Flat record -> normalised names and types.
+def flatten_flat(df: DataFrame, unit: str | None = None) -> DataFrame:
+    """Flat record -> normalised names and types. ``unit`` (``s``, ``ms``): of the feed's time, where it is not the usual one.
 
     A record may hold both the old and the new name of a column; the new one wins where it
     is not NULL.
@@ -128,15 +137,15 @@ def flatten_flat(df: DataFrame) -> DataFrame:
         f.name: first_of(schema, [(f.name,), (old_name.get(f.name, f.name),)], f.dataType)
         for f in NORMALISED
     }
-    flat["dt"] = _flat_epoch(schema)
+    flat["dt"] = _flat_epoch(schema, unit)
     flat["city_name"] = city_name(schema)
     spent = [c for c in (*FLAT_NAMES, "name", "city") if c not in flat]
     return df.withColumns(flat).drop(*spent)
 
 
-def normalise(df: DataFrame) -> DataFrame:
-    """Any raw source -> the normalised columns, typed and in order, ready for a union."""
-    flat = flatten_nested(df) if is_nested(df) else flatten_flat(df)
+def normalise(df: DataFrame, unit: str | None = None) -> DataFrame:
+    """Any raw source -> the normalised columns, typed and in order, ready for a union. ``unit``: see ``flatten_flat``."""
+    flat = flatten_nested(df) if is_nested(df) else flatten_flat(df, unit)
     return flat.select(*NORMALISED.fieldNames())
 
 

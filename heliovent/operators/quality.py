@@ -13,7 +13,7 @@ class EmptyTableError(RuntimeError):
 def is_valid() -> Column:
     """City, temperature and time are all known (silver columns)."""
     return (
-        F.col("ciudad").cast("string").isNotNull()
+        F.col("ciudad").isNotNull()
         & F.col("temperatura_c").isNotNull()
         & F.col("timestamp_epoch").isNotNull()
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliovent.functions.rounding import stable_mean, stable_round
+from heliovent.functions.rounding import exact_mean, stable_round
 
 FINDING_COLUMNS = ("section", "metric", "ciudad", "fecha", "hora", "value")
 
@@ -20,7 +20,7 @@ def _present(column: str) -> Column:
 
 def _means_by(df: DataFrame, key: str, *measures: str) -> DataFrame:
     known = df.filter(F.col(key).isNotNull())
-    return known.groupBy(key).agg(*[stable_mean(_present(m)).alias(m) for m in measures])
+    return known.groupBy(key).agg(*[exact_mean(_present(m), 10).alias(m) for m in measures])
 
 
 def hour_profile(patterns: DataFrame) -> DataFrame:
@@ -88,20 +88,52 @@ _TOP_DAYS = {
 }
 
 
-def top_days(daily: DataFrame) -> DataFrame:
-    """The record days, and the solar mean of the rainiest one, in one pass over ``daily``."""
+def _day_winners() -> dict[str, Column]:
     solar = "promedio_potencial_solar_diario"
-    winners = []
+    winners = {}
     for metric, (_, column, largest) in _TOP_DAYS.items():
         row = [F.col("ciudad"), F.col("fecha_solo"), _present(column).alias("value"), _present(solar).alias("solar")]
-        winners.append(_winner(column, row, ["ciudad", "fecha_solo"], largest).alias(metric))
+        winners[metric] = _winner(column, row, ["ciudad", "fecha_solo"], largest)
+    return winners
+
+
+def _day_findings() -> list[Column]:
     day = {"ciudad": "ciudad", "fecha": "fecha_solo"}
     findings = [
         _finding(section, metric, metric, value="value", **day)
         for metric, (section, _, _) in _TOP_DAYS.items()
     ]
-    findings.append(_finding("rain_vs_solar", "rainiest_day_solar", "rainiest_day", value="solar", **day))
-    return _long(daily.agg(*winners), findings)
+    return [*findings, _finding("rain_vs_solar", "rainiest_day_solar", "rainiest_day", value="solar", **day)]
+
+
+def top_days(daily: DataFrame) -> DataFrame:
+    """The record days, and the solar mean of the rainiest one, in one pass over ``daily``."""
+    return _long(daily.agg(*[w.alias(metric) for metric, w in _day_winners().items()]), _day_findings())
+
+
+def day_findings(daily: DataFrame) -> DataFrame:
+    """``top_days`` and ``most_humid_city`` in one pass: first each city's record days and humidity, then all cities'."""
+    humidity = "promedio_humedad_diaria"
+    cities = daily.groupBy("ciudad").agg(
+        *[w.alias(metric) for metric, w in _day_winners().items()],
+        exact_mean(_present(humidity), 10).alias(humidity),
+    )
+    best = []
+    for metric, (_, _, largest) in _TOP_DAYS.items():
+        day = F.col(metric)
+        value = day.getField("value")
+        rank = F.struct(value.isNull(), -value if largest else value, day.getField("ciudad"), day.getField("fecha_solo"))
+        best.append(F.min_by(day, rank).alias(metric))
+    best.append(F.min_by(*_humid_city(humidity)).alias("most_humid_city"))
+    humid = _finding("conditions", "most_humid_city", "most_humid_city", ciudad="ciudad", value="value")
+    return _long(cities.agg(*best), [*_day_findings(), humid])
+
+
+def _humid_city(column: str) -> tuple[Column, Column]:
+    """A city's finding and its rank; a row without a city comes last."""
+    value = _present(column)
+    row = F.struct("ciudad", F.when(F.col("ciudad").isNotNull(), stable_round(value)).alias("value"))
+    return row, F.struct(F.col("ciudad").isNull(), value.isNull(), -value, F.col("ciudad"))
 
 
 def peak_hours(patterns: DataFrame) -> DataFrame:
@@ -130,7 +162,7 @@ def most_humid_city(daily: DataFrame) -> DataFrame:
 
 def energy_report(daily: DataFrame, patterns: DataFrame) -> DataFrame:
     """All findings as a long table of eleven rows."""
-    return top_days(daily).unionByName(peak_hours(patterns)).unionByName(most_humid_city(daily))
+    return day_findings(daily).unionByName(peak_hours(patterns))
 
 
 def render_markdown(findings: DataFrame) -> str:

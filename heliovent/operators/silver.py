@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliovent.functions.timekeys import utc_text
 from heliovent.schemas import SILVER, SILVER_PARTITIONS
 
 # The columns that are the same for all rows of a run, last in the silver schema.
@@ -54,12 +55,9 @@ def stamp_ingestion(df: DataFrame, run_ts: datetime) -> DataFrame:
 
 
 def silver_columns(normalised: DataFrame) -> DataFrame:
-    """Normalised rows -> silver names and order, without the stamps of a run.
-
-    Needs a UTC session for the ISO text.
-    """
+    """Normalised rows -> silver names and order, without the stamps of a run."""
     renamed = normalised.withColumnsRenamed(SILVER_NAMES).withColumn(
-        "timestamp_iso", F.from_unixtime("timestamp_epoch", "yyyy-MM-dd HH:mm:ss")
+        "timestamp_iso", utc_text(F.col("timestamp_epoch"))
     )
     return renamed.select(*[c for c in SILVER.fieldNames() if c not in STAMPS])
 
@@ -73,16 +71,20 @@ def preview(silver: DataFrame, rows: int = 5) -> DataFrame:
     return silver.select(*PREVIEW_COLUMNS).limit(rows)
 
 
+# What tells observations of one city and second apart, and its stand-in where it is not known.
+_PLACE = {"_lat": "lat", "_lon": "lon"}
+
+
 def latest_observations(silver: DataFrame) -> DataFrame:
-    """One row per (city, time), from the run that wrote it last.
+    """The rows of each observation (city, time, place) from the run that wrote it last, all of them.
 
-    Every run reads all raw data again and appends, so silver holds an observation once per
-    run. Copies are folded by an aggregate, first inside each task, so a heavily repeated key
-    never has to be gathered in one place.
+    Every run reads all raw data again and appends, so silver holds an observation once per run. Only the last stamp of
+    an observation is aggregated, a primitive that tasks fold before the shuffle; rows with that stamp stay by a hash join. Rows
+    of one run are never copies of each other.
     """
-    keys = ["ciudad", "timestamp_epoch"]
-    rest = F.struct(*[c for c in silver.columns if c not in keys])
-    # The row itself breaks ties between copies of one run, so that reruns agree.
-    rank = F.struct(F.col("fecha_procesamiento_utc").alias("stamp"), rest.alias("rest"))
-    kept = silver.groupBy(*keys).agg(F.max(rank).getField("rest").alias("kept"))
-    return kept.select(*keys, "kept.*").select(*silver.columns)
+    place = {k: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for k, c in _PLACE.items() if c in silver.columns}
+    placed = silver.withColumns({"_city": F.coalesce("ciudad", F.lit("")), "_time": F.coalesce("timestamp_epoch", F.lit(-(2**63))), **place})
+    keys = ["_city", "_time", *place]
+    last = placed.groupBy(*keys).agg(F.max("fecha_procesamiento_utc").alias("_last")).toDF(*[f"{k}_of" for k in keys], "_last")
+    same = [F.col(k) == F.col(f"{k}_of") for k in keys] + [F.col("fecha_procesamiento_utc").eqNullSafe(F.col("_last"))]
+    return placed.join(last.hint("shuffle_hash"), same).select(*silver.columns)

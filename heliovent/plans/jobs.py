@@ -7,13 +7,22 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import types as T
 
 from heliovent.operators.gold import daily_from_rollup, gold_rollup, patterns_from_rollup
 from heliovent.operators.quality import keep_valid, observe_quality, require_rows
-from heliovent.operators.report import energy_report, render_markdown
-from heliovent.operators.silver import latest_observations, silver_columns, stamp_ingestion
+from heliovent.operators.report import (
+    city_potential,
+    city_temperature,
+    energy_report,
+    hour_profile,
+    rain_vs_solar,
+    rank_cities,
+    rank_hours,
+    render_markdown,
+)
+from heliovent.operators.silver import latest_observations, preview, silver_columns, stamp_ingestion
 from heliovent.plans.session import ensure_checkpoint_dir, require_utc
 from heliovent.schemas import DAILY_PARTITIONS, PATTERN_PARTITIONS
 from heliovent.sources.readers import load_sources, read_daily, read_patterns, read_silver
@@ -28,6 +37,7 @@ class SilverRun:
     clean_rows: int
     rejected_rows: int
     skipped_sources: dict[str, str]
+    preview: tuple[Row, ...] = ()
 
 
 def run_silver(
@@ -38,14 +48,18 @@ def run_silver(
     json_schema: T.StructType | None = None,
     run_ts: datetime | None = None,
     files: int | None = None,
+    parquet_schema: T.StructType | None = None,
+    required: Iterable[str] = (),
+    preview_rows: int = 0,
 ) -> SilverRun:
     """Load all raw sources, normalise, drop invalid rows and append them to silver.
 
-    Raw data is read once: the row counts are taken while writing. Nothing is written when no
-    valid row exists.
+    Row counts are taken while writing. Nothing is written when no valid row exists: a first read looks for one and
+    stops there, so raw data is read twice where valid rows come late, and JSON once more where its schema is inferred.
+    ``preview_rows`` of the result are logged and returned.
     """
     require_utc(spark)
-    combined, skipped = load_sources(spark, parquet, json, json_schema)
+    combined, skipped = load_sources(spark, parquet, json, json_schema, parquet_schema, required)
     rows = silver_columns(combined)
     require_rows(keep_valid(rows), "the cleaned silver batch")
 
@@ -54,7 +68,10 @@ def run_silver(
     # Stamped last: Spark then sees that the partition columns are constants, and writes
     # without sorting the rows by them.
     write_silver(stamp_ingestion(valid, run_ts or datetime.now(timezone.utc)), silver_path)
-    run = SilverRun(**counts.get, skipped_sources=skipped)
+    shown = tuple(preview(keep_valid(rows), preview_rows).collect()) if preview_rows else ()
+    for row in shown:
+        log.info("silver row: %s", row)
+    run = SilverRun(**counts.get, skipped_sources=skipped, preview=shown)
     if run.rejected_rows:
         log.warning("%d of %d rows rejected as incomplete", run.rejected_rows, run.total_rows)
     return run
@@ -71,6 +88,8 @@ _GOLD_INPUTS = (
     "nubes_porcentaje",
     "lluvia_1h_mm",
     "fecha_procesamiento_utc",
+    "lat",
+    "lon",
 )
 
 
@@ -89,7 +108,8 @@ def run_gold(
     executor between the two writes does not bring the scan back.
 
     Silver keeps a copy of an observation for each run that read it. ``dedupe=True`` uses the
-    latest copy only; otherwise all copies count.
+    latest copy only; otherwise all copies count. With the
+    session's SESSION_CONF Spark deletes the checkpoint once it is no longer used.
     """
     require_utc(spark)
     silver = read_silver(spark, silver_path)
@@ -109,6 +129,17 @@ def run_report(spark: SparkSession, daily_path: str, patterns_path: str) -> str:
     return render_markdown(findings)
 
 
+def chart_tables(spark: SparkSession, daily_path: str, patterns_path: str) -> dict[str, DataFrame]:
+    """The tables behind the report's charts, by name, in the order in which they are drawn."""
+    daily = read_daily(spark, daily_path)
+    return {
+        "hour_profile": rank_hours(hour_profile(read_patterns(spark, patterns_path))),
+        "city_potential": rank_cities(city_potential(daily), "max_potencial_eolico_diario"),
+        "rain_vs_solar": rain_vs_solar(daily),
+        "city_temperature": rank_cities(city_temperature(daily), "max_temperatura_registro_c"),
+    }
+
+
 def run_medallion(
     spark: SparkSession,
     silver_root: str,
@@ -118,11 +149,18 @@ def run_medallion(
     json: Iterable[str] = (),
     run_ts: datetime | None = None,
     dedupe: bool = False,
+    json_schema: T.StructType | None = None,
+    parquet_schema: T.StructType | None = None,
+    required: Iterable[str] = (),
+    files: int | None = None,
+    preview_rows: int = 0,
+    daily_keys: Sequence[str] = DAILY_PARTITIONS,
+    pattern_keys: Sequence[str] = PATTERN_PARTITIONS,
 ) -> SilverRun:
     """Silver, then gold; gold is not started when silver fails.
 
-    ``parquet`` and ``json`` are paths below ``raw_root``, or below ``silver_root`` where no
-    ``raw_root`` is given.
+    ``parquet``, ``json`` and ``required`` are paths below ``raw_root``, or below ``silver_root`` where no
+    ``raw_root`` is given. The other arguments are those of ``run_silver`` and ``run_gold``.
     """
     base = (raw_root or silver_root).rstrip("/")
     silver_path = f"{silver_root.rstrip('/')}/silver/clima_procesado"
@@ -132,7 +170,12 @@ def run_medallion(
         silver_path,
         parquet=[f"{base}/{p}" for p in parquet],
         json=[f"{base}/{p}" for p in json],
+        json_schema=json_schema,
         run_ts=run_ts,
+        files=files,
+        parquet_schema=parquet_schema,
+        required=[f"{base}/{p}" for p in required],
+        preview_rows=preview_rows,
     )
-    run_gold(spark, silver_path, f"{gold}/resumen_clima_diario", f"{gold}/patrones_horarios", dedupe)
+    run_gold(spark, silver_path, f"{gold}/resumen_clima_diario", f"{gold}/patrones_horarios", dedupe, daily_keys, pattern_keys)
     return run

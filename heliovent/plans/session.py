@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # files of checkpoints go with their frames
 }
 
 

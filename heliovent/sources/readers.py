@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heliovent.operators.normalise import normalise, union_sources
@@ -16,9 +20,13 @@ from heliovent.schemas import GOLD_DAILY, GOLD_PATTERNS, SILVER
 
 log = logging.getLogger(__name__)
 
+# Error classes that say that a source is not there or has no readable schema; anything else fails the job.
+_NOT_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER", "EMPTY_SCHEMA_NOT_SUPPORTED_FOR_DATASOURCE")
+_UNLIKE_FILES = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
+
 
 class NoSourceError(RuntimeError):
-    """None of the given sources could be loaded."""
+    """None of the given sources could be loaded, or a required one could not."""
 
 
 def read_recursive_parquet(
@@ -29,33 +37,58 @@ def read_recursive_parquet(
 ) -> DataFrame:
     """All Parquet files below ``path``, at any depth, without partition columns.
 
+    Without ``schema`` it is that of all files together, merged by Spark: a column that only some files have is NULL in
+    the others. Files that give a column unlike types cannot make one frame; see ``read_unlike_parquet``.
     ``partitioned=True`` discovers the partition columns instead, so that a filter on the day
     reads only that day's folders.
     """
     reader = spark.read.option("basePath", path)
     if not partitioned:
         reader = reader.option("recursiveFileLookup", True)
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
     return reader.parquet(path)
 
 
-def read_multiline_json(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | None = None,
-    sampling_ratio: float | None = None,
-) -> DataFrame:
+def _error_of(error: Exception, classes: tuple[str, ...]) -> bool:
+    """Whether the error or one of its causes is of these classes."""
+    condition = error.getCondition() or "" if isinstance(error, PySparkException) else ""
+    return any(name == condition or f"[{name}" in str(error) for name in classes)
+
+
+def _footers(batches):
+    for batch in batches:
+        rows = []
+        for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
+            schema = pq.read_schema(io.BytesIO(content)).remove_metadata()
+            rows.append({"path": path, "columns": "\n".join(f"{f.name} {f.type}" for f in schema)})
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("columns", pa.string())]))
+
+
+def read_unlike_parquet(spark: SparkSession, path: str) -> list[DataFrame]:
+    """All Parquet files below ``path``: one frame, or one for each group of files with the same types.
+
+    Groups are needed only where files give a column unlike types, such as a measure that is a whole number in some. The
+    files' footers are then read by tasks, which costs a further read of them.
+    """
+    try:
+        return [read_recursive_parquet(spark, path)]
+    except (PySparkException, Py4JJavaError) as error:
+        if not _error_of(error, _UNLIKE_FILES):
+            raise
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    groups = files.select("path", "content").mapInArrow(_footers, "path string, columns string").groupBy("columns").agg(F.collect_list("path").alias("paths"))
+    return [spark.read.parquet(*row["paths"]) for row in groups.orderBy("columns").toLocalIterator()]
+
+
+def read_multiline_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON documents that span lines (an object or an array of objects per file).
 
-    Without ``schema`` the files are read once more to infer it; ``sampling_ratio`` shortens
-    that. A file is read by one task, since such a document cannot be split.
+    Without ``schema`` all files are read once more to infer it. A file is read by one task, since such a document
+    cannot be split.
     """
     reader = spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
-    elif sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
     return reader.json(path)
 
 
@@ -88,31 +121,38 @@ def load_sources(
     parquet: Iterable[str] = (),
     json: Iterable[str] = (),
     json_schema: T.StructType | None = None,
+    parquet_schema: T.StructType | None = None,
+    required: Iterable[str] = (),
 ) -> tuple[DataFrame, dict[str, str]]:
-    """Load and normalise every source; skip those that cannot be read.
+    """Load and normalise every source; skip those that are missing or have no readable schema.
 
-    Returns the union of the loaded sources and ``{path: reason}`` of the skipped ones. Reads
-    are lazy, so this catches what shows while planning (missing path, unreadable footer,
-    impossible type); a file that breaks later fails the job.
+    Returns the union of the loaded sources and ``{path: reason}`` of the skipped ones. A path in ``required`` must load.
+    Reads are lazy, so this catches what shows while planning; any other error, such as a fault of the store, and a
+    file that breaks later fail the job, since tables written without a source would pass for whole.
     """
 
-    def parquet_source(path: str) -> DataFrame:
-        return read_recursive_parquet(spark, path)
+    def parquet_source(path: str) -> list[DataFrame]:
+        return read_unlike_parquet(spark, path) if parquet_schema is None else [read_recursive_parquet(spark, path, parquet_schema)]
 
-    def json_source(path: str) -> DataFrame:
-        return read_multiline_json(spark, path, json_schema)
-
-    jobs: list[tuple[Callable[[str], DataFrame], str]] = [(parquet_source, p) for p in parquet]
-    jobs += [(json_source, p) for p in json]
+    def json_source(path: str) -> list[DataFrame]:
+        return [read_multiline_json(spark, path, json_schema)]
 
     loaded: list[DataFrame] = []
     skipped: dict[str, str] = {}
-    for read, path in jobs:
+    required = set(required)
+    for read, path in [*((parquet_source, p) for p in parquet), *((json_source, p) for p in json)]:
         try:
-            loaded.append(normalise(read(path)))
+            loaded += map(normalise, read(path))
+        except AnalysisException as error:
+            skipped[path] = str(error)
         except (PySparkException, Py4JJavaError) as error:
+            if not _error_of(error, _NOT_THERE):
+                raise
             skipped[path] = str(error)
-            log.error("skipped source %s: %s", path, error)
+        if path in skipped:
+            if path in required:
+                raise NoSourceError(f"required source {path}: {skipped[path]}")
+            log.error("skipped source %s: %s", path, skipped[path])
     if not loaded:
         raise NoSourceError(f"no source could be loaded: {skipped}")
     return union_sources(loaded), skipped

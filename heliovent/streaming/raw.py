@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from heliovent.operators.messages import add_day_partitions, parse_messages
+from heliovent.plans.session import require_utc
 from heliovent.schemas import RAW_PARTITIONS
 
 DAILY_TRIGGER = "86400 seconds"
@@ -57,8 +58,16 @@ def start_raw_sink(
 
 
 def run_raw_stream(
-    spark: SparkSession, servers: str, topic: str, path: str, checkpoint: str, **sink_options
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    path: str,
+    checkpoint: str,
+    starting_offsets: str = "latest",
+    source_options: dict[str, str] | None = None,
+    **sink_options,
 ) -> None:
-    """Topic to raw files until the query is stopped."""
-    raw = to_raw(read_topic(spark, servers, topic))
+    """Topic to raw files until the query is stopped. ``source_options`` go to the topic's reader."""
+    require_utc(spark)
+    raw = to_raw(read_topic(spark, servers, topic, starting_offsets, **(source_options or {})))
     start_raw_sink(raw, path, checkpoint, **sink_options).awaitTermination()

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from heliovent.functions.columns import ensure_columns, first_element_field, first_of, lookup_type
 from heliovent.functions.energy import cloud_factor, solar_index, wind_index
-from heliovent.functions.rounding import round_cents, stable_mean, stable_round
-from heliovent.functions.timekeys import epoch_seconds, hour_text, month_start, month_text, utc_date, utc_hour
+from heliovent.functions.rounding import exact_mean, exact_sum, round_cents, stable_round
+from heliovent.functions.timekeys import epoch_seconds, hour_text, month_start, month_text, utc_date, utc_hour, utc_text
 
 
 def values(spark, column, numbers):
@@ -46,15 +46,47 @@ def test_round_cents_on_any_double(spark, xs):
     assert values(spark, round_cents, xs) == values(spark, lambda x: F.round(x, 2), xs)
 
 
-def test_stable_mean_ignores_order(spark):
+def test_exact_mean_ignores_order(spark):
     rng = random.Random(3)
     xs = [rng.choice([0.1, 0.2, 0.7, 12.345]) for _ in range(5000)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    means = {df.repartition(n).agg(stable_mean(F.col("x"))).first()[0] for n in (1, 3, 8)}
+    means = {df.repartition(n).agg(exact_mean(F.col("x"), 10)).first()[0] for n in (1, 3, 8)}
     assert len(means) == 1
     assert means.pop() == pytest.approx(sum(xs) / len(xs))
 
 
+def test_twenty_million_values_in_any_partitions(spark):
+    """Doubles of this many values differ in the raw mean by more than rounding forgives."""
+
+    def frame(parts):
+        return spark.range(0, 20_000_000, 1, parts).select((F.pmod(F.xxhash64("id"), F.lit(199_999)) / 100 + 0.005).alias("x"))
+
+    got = {frame(n).agg(exact_mean(F.col("x"), 10), exact_sum(F.col("x")), exact_mean(F.round("x", 2), 2, places=2)).first() for n in (2, 7, 64)}
+    assert len(got) == 1
+
+
+def test_exact_mean_rounds_once_and_leaves_nothing_out(spark):
+    def mean(xs, **kw):
+        return spark.createDataFrame([(x,) for x in xs], "x double").agg(exact_mean(F.col("x"), **kw)).first()[0]
+
+    assert mean([0.01, 0.02], places=2) == 0.02  # a tie goes up
+    assert mean([-0.01, -0.02], places=2) == -0.02
+    assert mean([1.0, None]) == 1.0 and mean([None]) is None
+    assert math.isnan(mean([1.0, math.nan])) and mean([1e30, 3e30]) == 2e30 and mean([math.inf, 1.0]) == math.inf
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Bogota", "Pacific/Auckland", "America/Sao_Paulo"])
+def test_utc_text(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(1760841900,), (-1,), (0,), (None,)], "e bigint")
+        got = [r[0] for r in df.select(utc_text(F.col("e"), "T", "Z")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == ["2025-10-19T02:45:00Z", "1969-12-31T23:59:59Z", "1970-01-01T00:00:00Z", None]
+
+
 def test_stable_round_drops_summation_noise(spark):
     assert values(spark, stable_round, [12.344999999999999, 12.345000000000001]) == [12.35, 12.35]
 
@@ -88,24 +120,30 @@ def test_absurd_epoch_gives_no_date(spark):
 
 
 @pytest.mark.parametrize(
-    "type_name, given, expected",
+    "type_name, given, unit, expected",
     [
-        ("bigint", 1760841900000, 1760841900),
-        ("bigint", 1760841900999, 1760841900),
-        ("bigint", 1760841900, 1760841900),
-        ("bigint", -200_000_000_000, -200_000_000),
-        ("double", 1760841900000.0, 1760841900),
-        ("double", math.nan, None),
-        ("int", 1760841900, 1760841900),
-        ("string", "1760841900000", 1760841900),
-        ("string", "yesterday", None),
-        ("bigint", None, None),
+        ("bigint", 1760841900000, "ms", 1760841900),
+        ("bigint", 1760841900999, "ms", 1760841900),
+        ("bigint", 50_000_000_000, "ms", 50_000_000),  # August 1971
+        ("bigint", 50_000_000_000, "s", 50_000_000_000),
+        ("bigint", -200_000_000_000, "ms", -200_000_000),
+        ("bigint", 1760841900, "s", 1760841900),
+        ("double", 1760841900000.0, "ms", 1760841900),
+        ("double", math.nan, "ms", None),
+        ("int", 1760841900, "s", 1760841900),
+        ("string", "1760841900000", "ms", 1760841900),
+        ("string", "yesterday", "s", None),
+        ("bigint", None, "s", None),
     ],
 )
-def test_epoch_seconds(spark, type_name, given, expected):
+def test_epoch_seconds(spark, type_name, given, unit, expected):
     df = spark.createDataFrame([(given,)], f"ts {type_name}")
-    kind = df.schema["ts"].dataType.typeName()
-    assert df.select(epoch_seconds(F.col("ts"), kind)).first()[0] == expected
+    assert df.select(epoch_seconds(F.col("ts"), unit)).first()[0] == expected
+
+
+def test_only_seconds_and_milliseconds():
+    with pytest.raises(ValueError, match="minutes"):
+        epoch_seconds(F.lit(1), "minutes")
 
 
 def test_wind_index(spark):

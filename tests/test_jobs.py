@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 import heliovent
 from catalogue import inputs
+from heliovent.operators.messages import normalise_payload
+from heliovent.operators.normalise import normalise
 from heliovent.operators.quality import EmptyTableError, observe_quality
-from heliovent.operators.silver import to_silver
+from heliovent.operators.silver import silver_columns, to_silver
 from heliovent.sources import readers
 from heliovent.sources.readers import NoSourceError
+from heliovent.streaming import raw
 from tests.plans import assert_no_python, last_executed_plan, physical_plan
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -145,3 +148,74 @@ def test_checkpoints_go_to_the_folder_the_cluster_names(spark, lake, tmp_path):
     run_all(spark, lake, str(tmp_path))
     assert spark.sparkContext.getCheckpointDir().startswith((shared, f"file:{shared}"))
     assert not glob.glob(f"{tmp_path}/gold/*_checkpoints*")
+
+
+def test_chart_tables(spark, lake, tmp_path):
+    root = str(tmp_path)
+    run_all(spark, lake, root)
+    charts = heliovent.chart_tables(spark, f"{root}/gold/resumen_clima_diario", f"{root}/gold/patrones_horarios")
+    assert list(charts) == ["hour_profile", "city_potential", "rain_vs_solar", "city_temperature"]
+    hours = [r.hora_solo for r in charts["hour_profile"].collect()]
+    assert hours == sorted(hours) and all(not t.isEmpty() for t in charts.values())
+
+
+def test_medallion_passes_its_arguments_on(spark, lake, tmp_path):
+    root = str(tmp_path)
+    schema = inputs.nested_records(spark, SF_DIR).schema
+    options = {"json_schema": schema, "files": 2, "preview_rows": 3, "required": ["api"], "daily_keys": ["fecha_solo"], "pattern_keys": ["mes_anio"]}
+    run = run_all(spark, lake, root, **options)
+    assert len(run.preview) == 3 and "temperatura_c" in run.preview[0]
+    assert len(glob.glob(f"{root}/silver/**/*.parquet", recursive=True)) == 2
+    assert glob.glob(f"{root}/gold/resumen_clima_diario/fecha_solo=*") and glob.glob(f"{root}/gold/patrones_horarios/mes_anio=*")
+    assert readers.read_daily(spark, f"{root}/gold/resumen_clima_diario").count() > 0
+    with pytest.raises(NoSourceError, match="absent"):
+        run_all(spark, lake, root, required=["absent"])
+
+
+def test_medallion_with_a_pinned_parquet_schema(spark, lake, tmp_path):
+    schema = inputs.flat_records(spark, SF_DIR).drop("humidity").schema
+    heliovent.run_medallion(spark, str(tmp_path), str(tmp_path), raw_root=f"{lake}/raw", parquet=["stream"], parquet_schema=schema, run_ts=RUN)
+    written = readers.read_silver(spark, f"{tmp_path}/silver/clima_procesado")
+    assert written.filter("humedad_porcentaje is not null").isEmpty() and not written.isEmpty()
+
+
+@pytest.mark.parametrize("zone", ["America/Bogota", "Pacific/Auckland"])
+def test_texts_and_keys_do_not_depend_on_the_session_zone(spark, zone):
+    def texts():
+        records = inputs.stream_messages(spark, SF_DIR)
+        spark.conf.set("spark.sql.session.timeZone", use)
+        days = raw.to_raw(records).select("datetime_utc", "year", "month", "day").collect()
+        payload = spark.createDataFrame([(PAYLOAD,)], "payload string")
+        observed = normalise_payload(payload).select("datetime_utc").collect()
+        rows = spark.createDataFrame([(1760841900, "A", 1.0)], "dt bigint, city string, temp_c double")
+        iso = silver_columns(normalise(rows)).select("timestamp_iso").collect()
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return sorted(days), observed, iso
+
+    use = "UTC"
+    want = texts()
+    use = zone
+    assert texts() == want
+    assert want[1][0][0] == "2025-10-19T02:45:00Z" and want[2][0][0] == "2025-10-19 02:45:00"
+
+
+PAYLOAD = '{"name": "A", "dt": 1760841900, "coord": {"lat": 1, "lon": 2}, "main": {"temp": 1, "humidity": 2, "pressure": 3}, "wind": {"speed": 1}}'
+
+
+def test_stream_job_passes_source_options_and_insists_on_utc(spark, monkeypatch, tmp_path):
+    seen = {}
+
+    def topic(spark, servers, name, starting_offsets, **options):
+        seen.update(servers=servers, name=name, offsets=starting_offsets, **options)
+        return spark.readStream.format("rate").load().selectExpr("cast(cast(value as string) as binary) as value")
+
+    monkeypatch.setattr(raw, "read_topic", topic)
+    monkeypatch.setattr(raw, "start_raw_sink", lambda *a, **k: seen.update(sink=k) or type("Q", (), {"awaitTermination": lambda self: None})())
+    heliovent.run_raw_stream(spark, "s:9092", "t", "p", "c", starting_offsets="earliest", source_options={"minPartitions": "8"}, interval="1 second")
+    assert seen == {"servers": "s:9092", "name": "t", "offsets": "earliest", "minPartitions": "8", "sink": {"interval": "1 second"}}
+    spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            heliovent.run_raw_stream(spark, "s:9092", "t", "p", "c")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.001")
 TABLES = (
@@ -39,17 +41,18 @@ def _sorted(rows):
     return sorted(tuple(_key(v) for v in row) for row in rows)
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+def test_every_query_of_the_catalogue_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 DUCK_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
-    result = entry_points.queries()[name](spark, str(SF_DIR))
-    sql = entry_points.oracle_sql()[name]
+    result = QUERIES[name](spark, str(SF_DIR))
+    sql = ORACLES[name]
     expected = duck.sql(sql)
     assert {n: DUCK_TYPES.get(t, t) for n, t in result.dtypes} == dict(zip(expected.columns, map(str, expected.types)))
     names = sorted(result.columns)

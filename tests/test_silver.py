@@ -17,10 +17,10 @@ RUN = datetime(2025, 1, 5, 3, 4, 5, tzinfo=timezone.utc)
 def rows(spark):
     df = spark.createDataFrame(
         [
-            ("A", 1760841900, 1.0),
-            (None, 1760841900, 1.0),
+            ("A", 1760841900000, 1.0),
+            (None, 1760841900000, 1.0),
             ("A", None, 1.0),
-            ("A", 1760841900, None),
+            ("A", 1760841900000, None),
             (None, None, None),
         ],
         "city string, ts bigint, temp_c double",
@@ -88,14 +88,22 @@ def test_latest_copy_wins(rows, spark):
     assert [r.lluvia_1h_mm for r in latest.collect()] == [9.0]
 
 
-def test_copies_of_one_run_resolve_the_same_way_every_time(rows):
+def test_all_rows_of_the_last_run_stay(rows):
     valid = quality.keep_valid(rows)
     copies = [valid.withColumn("humedad_porcentaje", F.lit(float(h))) for h in (3, 9, 5)]
-    picks = set()
-    for order in ((0, 1, 2), (2, 1, 0), (1, 0, 2)):
-        a, b, c = (copies[i] for i in order)
-        picks.add(silver.latest_observations(a.union(b).union(c)).first().humedad_porcentaje)
-    assert picks == {9.0}
+    twice = copies[0].union(copies[1]).union(copies[2])
+    for earlier in (twice, copies[0]):
+        again = silver.stamp_ingestion(twice, RUN + timedelta(hours=12))
+        got = silver.latest_observations(earlier.unionByName(again))
+        assert sorted(r.humedad_porcentaje for r in got.collect()) == [3.0, 5.0, 9.0]
+
+
+def test_places_are_told_apart(rows):
+    valid = quality.keep_valid(rows)
+    here, there, nowhere = (valid.withColumn("lat", F.lit(x).cast("double")) for x in (1.0, 2.0, None))
+    later = silver.stamp_ingestion(there, RUN + timedelta(hours=12))
+    got = silver.latest_observations(here.union(there).union(nowhere).unionByName(later))
+    assert sorted((str(r.lat), r.fecha_procesamiento_utc > valid.first().fecha_procesamiento_utc) for r in got.collect()) == [("1.0", False), ("2.0", True), ("None", False)]
 
 
 def test_a_key_with_most_of_the_rows_is_folded_before_the_shuffle(spark):
@@ -114,3 +122,4 @@ def test_a_key_with_most_of_the_rows_is_folded_before_the_shuffle(spark):
     assert hot.temperatura_c == max(i for i in range(0, n, 3))
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max") > plan.index("Exchange"), "partial step below the exchange"
+    assert "Sort" not in plan and "ShuffledHashJoin" in plan

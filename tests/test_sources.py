@@ -4,7 +4,7 @@ import glob
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from heliovent.operators import gold, quality, silver
@@ -65,8 +65,46 @@ def test_json_with_schema_needs_no_inference(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"city_name": "A", "dt": 10, "temp_c": 4}')
     schema = spark.createDataFrame([], "city_name string, dt bigint, temp_c double").schema
     assert readers.read_multiline_json(spark, str(tmp_path), schema).first() == ("A", 10, 4.0)
-    sampled = readers.read_multiline_json(spark, str(tmp_path), sampling_ratio=1.0)
-    assert sampled.count() == 1
+
+
+def test_a_column_of_some_files_is_found_whatever_their_names(spark, tmp_path):
+    rain = spark.createDataFrame([("A", 1, (2.0,), (7.5,))], "name string, dt bigint, main struct<temp: double>, rain struct<`1h`: double>")
+    for order in (("a", "b"), ("b", "a")):
+        path = str(tmp_path / "".join(order))
+        rain.write.parquet(f"{path}/{order[0]}")
+        rain.drop("rain").write.parquet(f"{path}/{order[1]}")
+        loaded, skipped = readers.load_sources(spark, parquet=[path])
+        assert not skipped and sorted(str(r.rain_1h_mm) for r in loaded.collect()) == ["7.5", "None"]
+
+
+def test_files_with_unlike_types_are_read_group_by_group(spark, tmp_path):
+    path = str(tmp_path / "unlike")
+    for kind in ("double", "bigint", "string"):
+        df = spark.createDataFrame([("A", 1)], "name string, dt bigint").withColumn("main", F.struct(F.lit(2).cast(kind).alias("temp")))
+        df.write.parquet(f"{path}/{kind}")
+        df.withColumn("visibility", F.lit(3)).write.parquet(f"{path}/{kind}_and_more")
+    loaded, _ = readers.load_sources(spark, parquet=[path])
+    assert [(r.temperatura_c, r.dt) for r in loaded.collect()] == [(2.0, 1)] * 6
+    assert sorted(str(r.visibility) for r in loaded.collect()) == ["3.0"] * 3 + ["None"] * 3
+
+
+def test_pinned_schema_and_required_sources(spark, flat, tmp_path):
+    good, absent = str(tmp_path / "good"), str(tmp_path / "absent")
+    flat.write.parquet(good)
+    schema = spark.createDataFrame([], "city string, ts bigint, temp_c double").schema
+    loaded, _ = readers.load_sources(spark, parquet=[good], parquet_schema=schema, required=[good])
+    assert loaded.filter("humedad_porcentaje is not null").isEmpty() and not loaded.filter("temperatura_c is not null").isEmpty()
+    with pytest.raises(readers.NoSourceError, match="absent"):
+        readers.load_sources(spark, parquet=[good, absent], required=[absent])
+
+
+def test_other_faults_are_not_taken_for_a_missing_source(spark, monkeypatch):
+    def fault(*_):
+        raise PySparkException("the store did not answer")
+
+    monkeypatch.setattr(readers, "read_recursive_parquet", fault)
+    with pytest.raises(PySparkException, match="did not answer"):
+        readers.load_sources(spark, parquet=["anywhere"])
 
 
 def test_corrupt_json_is_one_rejected_row(spark, tmp_path):
