@@ -5,6 +5,9 @@ The derivations are written twice, here and as SQL in ``oracles.py``; FIXTURES.m
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -17,13 +20,21 @@ from heliovent.schemas import SILVER
 RECORDS_PER_JSON_FILE = 5_000
 
 
+@functools.cache
+def _own_folder() -> str:
+    """Of a local session without a checkpoint folder; removed when the program ends."""
+    path = tempfile.mkdtemp(prefix="catalogue-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for a table written by a query, in the cluster's shared folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp()
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
