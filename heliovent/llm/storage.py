@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -9,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 12 << 20  # of text in a block, on average
-_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,7 +22,15 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return _own.setdefault(context.applicationId, tempfile.mkdtemp(prefix="llm-"))
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
+    """Removed when the program ends."""
+    path = tempfile.mkdtemp(prefix="llm-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def new_path(spark: SparkSession) -> str:
