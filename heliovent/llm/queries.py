@@ -12,6 +12,7 @@ from heliovent.llm.language_id import identify
 from heliovent.llm.license_scan import scan_licenses
 from heliovent.llm.lm_scoring import score_texts
 from heliovent.llm.ngram_join import join_documents
+from heliovent.llm.oracles import ORACLES
 from heliovent.llm.packing import pack_documents
 from heliovent.llm.pii import find_private
 from heliovent.llm.quality_rules import judge_quality
@@ -47,4 +48,4 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": over("documents", scan_licenses),
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "importable"]
