@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 12 << 20  # of text in a block, on average
+RANGE_BYTES = 16 << 20  # of text for each key range
+FIRST_BYTES = 64 << 30  # up to here they stay so; then they grow with the square root of the input,
+MOST_GROWTH = 10.0  # up to this factor
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,11 +63,14 @@ class Blocks:
         spark = frame.sparkSession
         total = frame.agg(F.count("*").alias("n"), F.sum(F.octet_length(name)).alias("b")).first()
         self.rows, self.bytes = total["n"], total["b"] or 0
+        # Larger inputs take larger blocks and key ranges, so that a block still has many keys in a range.
+        growth = min(MOST_GROWTH, max(1.0, (self.bytes / FIRST_BYTES) ** 0.5))
+        size = int(size * growth)
         per_block = max(1, round(size * self.rows / self.bytes)) if self.bytes else 1 << 20
         shift = max(0, min(32, per_block.bit_length() - 1))
         self.buckets = max(1, min(1 << 16, -(-self.bytes // size)))
-        # parts of the key space: about a million keys each, should every eighth byte start one
-        self.parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-self.bytes // (16 << 20)))
+        # ranges of the key space: about two million keys each at first, should every eighth byte start one
+        self.parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-self.bytes // int(RANGE_BYTES * growth)))
         table = f"llm_blocks_{uuid.uuid4().hex}"
         (
             frame.withColumn("block_id", F.shiftright(F.monotonically_increasing_id(), shift))
