@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 
+import numpy as np
+
 
 def suffix_array(text: Sequence[int]) -> list[int]:
     """Starts of all suffixes in ascending order; a suffix that is a prefix of another comes first.
@@ -17,20 +19,18 @@ def suffix_array(text: Sequence[int]) -> list[int]:
     pointers lead to, come next in their groups.
     """
     n = len(text) + 1  # places from 1, and an end below every symbol; place 0 stands for none
-    group = [0] * (n + 1)
-    by_symbol = defaultdict(list)
-    for i, c in enumerate(text, 1):
-        by_symbol[c].append(i)
+    symbols = np.asarray(text, np.int64)
+    order = np.argsort(symbols, kind="stable")
+    starts = np.flatnonzero(np.r_[n > 1, np.diff(symbols[order]) != 0])
     # a group's members; one that left has another number in ``group``, and a sole member stands by itself
-    members: list = [[n], *(by_symbol[c] for c in sorted(by_symbol))]
-    for g, own in enumerate(members):
-        for i in own:
-            group[i] = g
+    members: list = [[n], *(x.tolist() for x in np.split(order + 1, starts[1:]))] if n > 1 else [[n]]
+    which = np.zeros(n + 1, np.int64)
+    which[order + 1] = np.repeat(np.arange(1, len(members)), np.diff(np.r_[starts, n - 1]))
+    group = which.tolist()
     size = [len(x) for x in members]
     below = list(range(-1, len(members) - 1))
     above = [*range(1, len(members)), -1]
-    handled = bytearray(n + 1)
-    smaller = [0] * (n + 1)
+    smaller = [-1] * (n + 1)  # -1: not handled so far
     g = len(members) - 1
     while g >= 0:
         own = members[g]
@@ -40,10 +40,11 @@ def suffix_array(text: Sequence[int]) -> list[int]:
                 for s in own:
                     if group[s] == g:
                         break
-            handled[s] = 1
             p = s - 1
-            while handled[p]:
-                p = smaller[p]
+            q = smaller[p]
+            while q >= 0:
+                p = q
+                q = smaller[p]
             smaller[s] = p
             if p:
                 old = group[p]
@@ -64,10 +65,11 @@ def suffix_array(text: Sequence[int]) -> list[int]:
             own.sort()
             times: dict[int, int] = {}
             for s in own:
-                handled[s] = 1
                 p = s - 1
-                while handled[p]:
-                    p = smaller[p]
+                q = smaller[p]
+                while q >= 0:
+                    p = q
+                    q = smaller[p]
                 smaller[s] = p
                 times[p] = times.get(p, 0) + 1
             times.pop(0, None)
@@ -104,14 +106,15 @@ def suffix_array(text: Sequence[int]) -> list[int]:
         g = above[g]
     out = [0] * n
     out[0] = n
-    emitted = bytearray(n + 1)
-    emitted[0] = emitted[n] = 1
-    for i in range(n):
-        p = out[i] - 1
-        while not emitted[p]:
-            emitted[p] = 1
-            g = group[p]
-            out[place[g]] = p
-            place[g] += 1
+    group[0] = group[n] = -1  # -1: emitted, or none
+    for i in out:  # grows ahead of the loop: a suffix is placed before its turn comes
+        p = i - 1
+        g = group[p]
+        while g >= 0:
+            group[p] = -1
+            at = place[g]
+            out[at] = p
+            place[g] = at + 1
             p = smaller[p]
+            g = group[p]
     return [i - 1 for i in out[1:]]

@@ -39,6 +39,7 @@ GRAM = 30
 UNIT = 256
 HOT = 512
 MOST = 1 << 18
+BATCH = 1 << 14  # bytes of a suffix array, about: small enough for the cache, large enough for few calls
 PIECE = 4096  # windows; a longer stretch of one label makes several pieces
 NO_ID = (1 << 63) - 1
 _PLACE = U64((1 << 22) - 1)
@@ -202,32 +203,28 @@ def _piece_requests(parts: int, length: int):
 
 def _equal_windows(pieces: list[bytes], length: int) -> list[np.ndarray]:
     """Groups of equal windows over all pieces, as a number for each window of each piece."""
-    joined, starts, at = [], [], 0
-    for piece in pieces:
-        starts.append(at)
-        joined += [x + 1 for x in piece]
-        joined.append(0)
-        at += len(piece) + 1
     data = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
-    valid = np.zeros(len(joined), bool)
-    for s, piece in zip(starts, pieces):
-        valid[s : s + len(piece) - length + 1] = True
-    order = np.array(suffix_array(joined))
+    sizes = np.array([len(p) for p in pieces])
+    ends = np.cumsum(sizes + 1)
+    starts = ends - sizes - 1
+    symbols = data.astype(np.int64) + 1
+    symbols[ends - 1] = 0
+    valid = np.zeros(len(data), bool)
+    valid[gather(sizes - length + 1, starts)] = True
+    order = np.array(suffix_array(symbols))
     order = order[valid[order]]
     windows = np.lib.stride_tricks.sliding_window_view(data, length)
     new = np.ones(len(order), bool)
     for a in range(1, len(order), 1 << 16):
         b = min(len(order), a + (1 << 16))
         new[a:b] = (windows[order[a:b]] != windows[order[a - 1 : b - 1]]).any(axis=1)
-    number = np.zeros(len(joined), np.int64)
+    number = np.zeros(len(data), np.int64)
     number[order] = np.cumsum(new) - 1
-    return [number[s : s + len(p) - length + 1] for s, p in zip(starts, pieces)]
+    return [number[s : s + n - length + 1] for s, n in zip(starts.tolist(), sizes.tolist())]
 
 
 def _least_ids(pieces: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
     """Of every window of distinct pieces, the smallest doc_id of the pieces that have it."""
-    if len(pieces) == 1:
-        return [np.full(len(pieces[0]) - length + 1, ids[0])]
     number = _equal_windows(pieces, length)
     every = np.concatenate(number)
     each = np.repeat(ids, [len(x) for x in number])
@@ -237,13 +234,34 @@ def _least_ids(pieces: list[bytes], ids: np.ndarray, length: int) -> list[np.nda
     return [least[x] for x in number]
 
 
-def _distinct_least(pieces: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
-    """_least_ids of pieces that may be equal."""
-    best: dict[bytes, int] = {}
-    for piece, i in zip(pieces, ids.tolist()):
-        best[piece] = min(i, best.get(piece, NO_ID))
-    done = dict(zip(best, _least_ids(list(best), np.array(list(best.values())), length)))
-    return [done[x] for x in pieces]
+def _least_by_group(groups: list[tuple[list[bytes], np.ndarray]], length: int) -> list[list[np.ndarray]]:
+    """_least_ids of the pieces of each group, which may be equal. Windows of different groups are never equal, so groups
+    share suffix arrays of about BATCH bytes."""
+    out, batch, size = [], {}, 0
+    last: list[tuple[list[bytes], dict]] = []
+
+    def finish() -> None:
+        texts = list(batch)
+        if texts:
+            batch.update(zip(texts, _least_ids(texts, np.array([batch[t] for t in texts]), length)))
+        out.extend([own[t] if t in own else batch[t] for t in pieces] for pieces, own in last)
+
+    for pieces, ids in groups:
+        best: dict[bytes, int] = {}
+        for piece, i in zip(pieces, ids.tolist()):
+            best[piece] = min(i, best.get(piece, NO_ID))
+        if len(best) == 1:  # a piece cannot repeat what only it holds
+            ((piece, i),) = best.items()
+            last.append((pieces, {piece: np.full(len(piece) - length + 1, i)}))
+            continue
+        last.append((pieces, {}))
+        batch |= best
+        size += sum(map(len, best))
+        if size >= BATCH:
+            finish()
+            last, batch, size = [], {}, 0
+    finish()
+    return out
 
 
 def _divided(pieces: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
@@ -266,7 +284,7 @@ def _divided(pieces: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarr
                     best[w] = min(k, best.get(w, NO_ID))
             found = [np.array([best[t[j : j + length]] for j in range(len(t) - length + 1)]) for t in texts]
         else:
-            found = _distinct_least(texts, own, length)
+            (found,) = _least_by_group([(texts, own)], length)
         for (i, a, b), least in zip(stretches, found):
             out[i][a:b] = least
     return out
@@ -285,12 +303,19 @@ def _search(length: int):
                 at += n
         found: list = [None] * len(pieces)
         bounds = [*asked.starts.tolist(), len(pieces)]
+        places, groups = [], []
         for a, b in zip(bounds[:-1], bounds[1:]):  # a label
             own = asked.order[a:b]
-            texts, some = [pieces[i] for i in own], ids[own]
-            many = b - a > 1 and sum(map(len, set(texts))) > MOST
-            for i, least in zip(own.tolist(), (_divided if many else _distinct_least)(texts, some, length)):
-                found[i] = least
+            texts = [pieces[i] for i in own]
+            if b - a > 1 and sum(map(len, set(texts))) > MOST:
+                for i, least in zip(own.tolist(), _divided(texts, ids[own], length)):
+                    found[i] = least
+            else:
+                places.append(own.tolist())
+                groups.append((texts, ids[own]))
+        for own, least in zip(places, _least_by_group(groups, length)):
+            for i, x in zip(own, least):
+                found[i] = x
         ends, rows, part = np.cumsum(asked.sizes).tolist(), [], table["part"][0].as_py()
         for block, n, end in zip(asked.blocks, asked.sizes.tolist(), ends):
             starts, values, counts = [], [], []
