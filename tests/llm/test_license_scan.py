@@ -1,8 +1,10 @@
 import re
 
+import numpy as np
 import pytest
 
 from heliovent.llm import license_scan as ls
+from heliovent.llm.queries import importable
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
@@ -62,3 +64,47 @@ def test_every_template_is_its_own_best(n):
 
 def test_empty_table(nothing):
     assert ls.scan_licenses(nothing).count() == 0
+
+
+def found(spark, *texts):
+    importable(spark)
+    got = ls.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [(r.license, r.licenses) for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+AROUND = "Some words about a program that has nothing to do with its terms.\n\n{}\n\nAnd here other words go on for a while, with no end in sight."
+
+
+def test_notices_with_empty_lines_inside_longer_documents(spark):
+    def apart(n):
+        return re.sub(r"(?<=[.:]) (?=[A-Z0-9])", "\n\n", " ".join(ls.TEMPLATES[n][1].split()))
+
+    numbers = [n for n, (_, text) in enumerate(ls.TEMPLATES) if len(text) > 300]
+    assert len(numbers) > 15
+    got = found(spark, *(AROUND.format(apart(n)) for n in numbers))
+    assert [x[0] for x in got] == [ls.TEMPLATES[n][0] for n in numbers]
+
+
+def test_notices_that_share_their_line(spark):
+    assert found(
+        spark,
+        "Copyright 2020 Foo. Released under the MIT License.",
+        "All of it is by us; released under the MIT License. Pictures: licensed under CC BY 4.0. Thank you for reading",
+        "It says: This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License. So there, and more words",
+        "Nothing was released under pressure; the license of the MIT was never an issue",
+    ) == [("MIT", "MIT"), ("CC-BY-4.0", "CC-BY-4.0,MIT"), ("CC-BY-NC-4.0", "CC-BY-NC-4.0"), (None, "")]
+
+
+def test_best_windows_equal_all_windows():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        size, least = int(rng.integers(2, 8)), float(rng.choice([0.5, 0.7, 0.85]))
+        words = rng.integers(0, size + 3, int(rng.integers(1, 30)))
+        before = np.array([max([k for k in range(i) if words[k] == w], default=-1) for i, w in enumerate(words)])
+        want = 0.0
+        for a in range(len(words)):
+            for b in range(a, len(words)):
+                own = set(words[a : b + 1].tolist())
+                want = max(want, 2 * sum(w < size for w in own) / (len(own) + size))
+        got = ls._best_windows(before, np.where(words < size, words, -1), size, least)
+        assert (got[0][0] if got else 0.0) == (want if want >= least else 0.0)
