@@ -147,7 +147,7 @@ _AT_MARKED = re.compile(r"[ \t]*+[\[({<][ \t]*+(?:at|@)[ \t]*+[\])}>][ \t]*+", r
 _DOT_MARKED = re.compile(r"[ \t]*+[\[({<][ \t]*+(?:dot|point|\.)[ \t]*+[\])}>][ \t]*+", re.I)
 _DOT_PLAIN = re.compile(r"(?<=[A-Za-z0-9])[ \t]++dot[ \t]++(?=[A-Za-z0-9])", re.I)
 _AT_PLAIN = re.compile(r"(?<=[A-Za-z0-9])[ \t]++at[ \t]++(?!(?:the|an?|this|that|which|each|every|its?|his|her|our|their)\b)(?=([A-Za-z0-9-]++)\.)", re.I)
-_AT_SPACED = re.compile(r"(?<=[A-Za-z0-9])[ \t]*+@[ \t]*+(?=[A-Za-z0-9])")
+_AT_SPACED = re.compile(r"(?<=[A-Za-z0-9])(?:[ \t]++@[ \t]*+|@[ \t]++)(?=[A-Za-z0-9])")
 
 
 def deobfuscated(text: str) -> Mapped:
@@ -181,7 +181,7 @@ def deobfuscated(text: str) -> Mapped:
     out = out.rewritten(_DOT_MARKED, const(".")).rewritten(_DOT_PLAIN, const("."))
     out = out.rewritten(_AT_MARKED, const("@"))
     out = out.rewritten(_AT_PLAIN, plain_at)
-    return out.rewritten(_AT_SPACED, lambda m: None if m[0] == "@" else [(m.start(), m.end(), "@")])
+    return out.rewritten(_AT_SPACED, const("@"))
 
 
 def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
@@ -221,19 +221,19 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _FOREIGN = np.zeros(256, bool)
 _FOREIGN[0xC4:] = True  # leads of what is beyond Latin-1
-_HINT = re.compile(
-    rb"(?<![a-z])(?:dot|point|zero|oh|one|two|three|four|five|six|seven|eight|nine)(?![a-z])|[\[({<][ \t]*(?:at|[.@])|\xc2\xad|[ \t]@|@[ \t]",
-)
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+# what the transducers rewrite in texts up to Latin-1: their own patterns, less blanks in front that may be missing, and the soft hyphen
+_TRANSDUCERS = (_PLUS, _NUMBERS, _DOT_MARKED, _DOT_PLAIN, _AT_MARKED, _AT_PLAIN, _AT_SPACED)
+_HINT = re.compile("|".join(["\xc2\xad", *(p.pattern.removeprefix(r"[ \t]*+") for p in _TRANSDUCERS)]).encode("latin-1"), re.I)
 
 
 def _suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts that may hold plain finds, and texts with a sign of disguise."""
     sums = np.cumsum(np.stack([np.r_[0, _DIGIT[data] | (data == 64)], np.r_[0, _FOREIGN[data]]]), axis=1)
-    plain, foreign = np.diff(sums[:, offsets]) > 0
-    at = np.fromiter((m.start() for m in _HINT.finditer(data.tobytes().translate(_LOWER))), np.int64)
-    hinted = np.diff(np.searchsorted(at, offsets)) > 0
-    return plain, foreign | hinted
+    plain, suspect = np.diff(sums[:, offsets]) > 0
+    whole = data.tobytes()
+    for i in np.flatnonzero(~suspect).tolist():  # each by itself: no pattern sees a neighbour's letters
+        suspect[i] = _HINT.search(whole[offsets[i] : offsets[i + 1]]) is not None
+    return plain, suspect
 
 
 _OUT_FIELDS = [("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())]

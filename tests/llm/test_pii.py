@@ -1,5 +1,6 @@
 import hashlib
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -69,3 +70,27 @@ def test_redaction(docs, rows):
 
 def test_empty_table(nothing):
     assert pii.find_private(nothing).count() == 0 and pii.without_private(nothing).count() == 0
+
+
+def suspects(texts):
+    return pii._suspects(*pii.text_bytes(pa.array(texts, pa.string())))[1].tolist()
+
+
+PARTS = ["plus", "Plus", "44", "20 7946 0958", "one", "five", "oh", "at", "AT", "dot", "point", "@", ".", "[", "]", "(", ")", "john", "example", "example.com", "com", " ", "  ", "\t", "-", ",", "\n", "é", "\xad", "о", "٤", "1" * 8, "4111"]
+
+
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=14).map("".join), min_size=1, max_size=4))
+@settings(max_examples=4000, deadline=None)
+def test_the_gate_lets_every_disguised_find_pass(texts):
+    for text, suspect in zip(texts, suspects(texts)):
+        assert suspect or 1 not in pii.deobfuscated(text).changed
+        assert suspect or not pii.disguised_spans(text, pii.plain_spans(text))
+
+
+def test_gated_search_finds_plus_before_digits_and_words_at_the_ends(spark):
+    phone = "call plus 44 20 7946 0958"
+    card = "four" + " one" * 15
+    texts = [phone, "ends with a letter", card, "begins with a letter"]
+    assert suspects(texts) == [True, False, True, False]
+    pii_rows = pii.find_private(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    assert [r.spans for r in sorted(pii_rows, key=lambda r: r.doc_id)] == ["phone:5:25", "", f"card:0:{len(card)}", ""]
