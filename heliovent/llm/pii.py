@@ -4,10 +4,13 @@ Plain finds are the leftmost matches, without overlap within a kind, of a patter
 check. Then transducers rewrite a text: look-alike letters and other scripts' digits to ASCII, hidden signs to nothing,
 spelled digits to digits, ``at`` and ``dot`` in disguise to their signs. Each keeps for every character the source
 characters it stands for. The same patterns search the rewritten text, and a match that holds something rewritten and
-does not touch a plain find of its kind is mapped back and added. Texts without a sign of disguise skip this.
+does not lie within a plain find of its kind is mapped back and added; a longer one stands beside the plain find. They search
+once more with spelled digits joined over commas and blanks, and once more over line ends; what is found before stays. Texts
+without a sign of disguise skip this.
 
 Rewriting is careful: a word counts as look-alikes only if all its letters become ASCII; ``at`` without brackets needs a
-spelled ``dot`` after the next word. Patterns start only where a match could, so long runs of digits or letters cost no more
+spelled ``dot`` in the domain after it, or before a literal domain a local part that looks like one (john.smith, j_doe, jo42)
+or a word such as ``mail`` or ``contact`` before it. Patterns start only where a match could, so long runs of digits or letters cost no more
 than others. Null text: empty. Offsets are code points, ends exclusive. Every row is searched by itself; doc_id, other
 columns and repeated rows play no part. An empty table gives an empty result.
 """
@@ -141,12 +144,21 @@ _HIDE = re.compile(f"[{_HIDDEN}]")
 _NUMBER = "(?:" + "|".join(_SPELLED) + ")"
 _PLUS = re.compile(rf"(?<![A-Za-z])plus[ -]+(?=[0-9]|{_NUMBER}(?![A-Za-z]))", re.I)
 _NUMBERS = re.compile(rf"(?<![A-Za-z]){_NUMBER}(?:[ -]{_NUMBER})*+(?![A-Za-z])", re.I)
-_JOINED = re.compile(r"(?<=[0-9])[ ,]+(?=[0-9])")
+# what parts spelled digits: commas and blanks, then line ends as well
+_JOINED = tuple(re.compile(rf"(?<=[0-9])[{signs}]++(?=[0-9])") for signs in (r" \t,-", r" \t,\r\n-"))
 _ONE = re.compile(_NUMBER, re.I)
 _AT_MARKED = re.compile(r"[ \t]*+[\[({<][ \t]*+(?:at|@)[ \t]*+[\])}>][ \t]*+", re.I)
 _DOT_MARKED = re.compile(r"[ \t]*+[\[({<][ \t]*+(?:dot|point|\.)[ \t]*+[\])}>][ \t]*+", re.I)
 _DOT_PLAIN = re.compile(r"(?<=[A-Za-z0-9])[ \t]++dot[ \t]++(?=[A-Za-z0-9])", re.I)
-_AT_PLAIN = re.compile(r"(?<=[A-Za-z0-9])[ \t]++at[ \t]++(?!(?:the|an?|this|that|which|each|every|its?|his|her|our|their)\b)(?=([A-Za-z0-9-]++)\.)", re.I)
+_AT_PLAIN = re.compile(r"(?<=[A-Za-z0-9])[ \t]++at[ \t]++(?!(?:the|an?|this|that|which|each|every|its?|his|her|our|their)\b)(?=([A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++))", re.I)
+# fixed values: what speaks for an address before `` at `` and a literal domain, and words that are no local part
+_LIKE_LOCAL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z][A-Za-z0-9%-]*(?:[._+][A-Za-z0-9._%+-]*|[0-9][A-Za-z0-9%-]*)\Z")
+_CUED_LOCAL = re.compile(
+    r"(?<![A-Za-z0-9])(?:(?:e-?)?mails?|mailto|contact|write|reach|address|send)(?:[ \t]+(?:me|us|him|her|them|to|is|address|or))*[ \t]*[:=]?[ \t]*(?<![A-Za-z0-9])"
+    r"(?!(?:me|us|him|her|them|you|it|this|that|one|is|to|in|out|up|here|there|now|back|look|address|support(?:ed)?|sent|found|available)[ \t]*\Z)[A-Za-z0-9._%+-]+\Z",
+    re.I,
+)
+_TOP = re.compile(r"\.[A-Za-z]{2,}-?\Z")
 _AT_SPACED = re.compile(r"(?<=[A-Za-z0-9])(?:[ \t]++@[ \t]*+|@[ \t]++)(?=[A-Za-z0-9])")
 
 
@@ -174,8 +186,13 @@ def deobfuscated(text: str) -> Mapped:
             at = m.start() + one.end()
         return parts
 
-    def plain_at(m: re.Match):  # its domain must have a dot that was spelled
-        return [(m.start(), m.end(), "@")] if out.changed[m.end(1)] else None
+    def plain_at(m: re.Match):  # its domain must have a dot that was spelled, or its local part must look like one
+        domain = range(m.start(1), m.end(1))
+        if not any(out.changed[k] and out.text[k] == "." for k in domain):
+            before = out.text[max(0, m.start() - 200) : m.start()]
+            if not _TOP.search(m[1]) or not (_LIKE_LOCAL.search(before) or _CUED_LOCAL.search(before)):
+                return None
+        return [(m.start(), m.end(), "@")]
 
     out = out.rewritten(_PLUS, const("+")).rewritten(_NUMBERS, numbers)
     out = out.rewritten(_DOT_MARKED, const(".")).rewritten(_DOT_PLAIN, const("."))
@@ -184,18 +201,30 @@ def deobfuscated(text: str) -> Mapped:
     return out.rewritten(_AT_SPACED, const("@"))
 
 
+def joined(text: Mapped, pattern: re.Pattern) -> Mapped:
+    """What parts digits becomes one blank where a digit beside it was rewritten; so numbers stay apart from each other."""
+
+    def blank(m: re.Match):
+        beside = text.changed[m.start() - 1] or text.changed[m.end()]
+        return [(m.start(), m.end(), " ")] if beside and m[0] not in (" ", "-") else None
+
+    return text.rewritten(pattern, blank)
+
+
 def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
-    """Finds in the rewritten text that hold something rewritten and touch no plain find of their kind."""
+    """Finds in the rewritten text that hold something rewritten and do not lie within a plain find of their kind."""
     to = deobfuscated(text)
     if 1 not in to.changed:
         return []
-    out = []
+    out: list[Span] = []
     taken = {kind: [(a, b) for k, a, b in plain if k == kind] for kind in KINDS}
-    for kind, a, b in plain_spans(to.text):
-        if 1 in to.changed[a:b]:
-            start, end = to.starts[a], to.ends[b - 1]
-            if all(end <= x or start >= y for x, y in taken[kind]):
-                out.append((kind, start, end))
+    for form in dict.fromkeys([to, *(joined(to, pattern) for pattern in _JOINED)]):
+        for kind, a, b in plain_spans(form.text):
+            if 1 in form.changed[a:b]:
+                start, end = form.starts[a], form.ends[b - 1]
+                if not any(x <= start and end <= y for x, y in taken[kind]):
+                    out.append((kind, start, end))
+                    taken[kind].append((start, end))
     return out
 
 
@@ -203,7 +232,7 @@ def all_spans(text: str, suspect: bool = True) -> tuple[list[Span], list[Span]]:
     """Plain finds, and all finds, by kind and start."""
     plain = plain_spans(text)
     added = disguised_spans(text, plain) if suspect else []
-    every = sorted(plain + added, key=lambda s: (KINDS.index(s[0]), s[1])) if added else plain
+    every = sorted(plain + added, key=lambda s: (KINDS.index(s[0]), *s[1:])) if added else plain
     return plain, every
 
 

@@ -94,3 +94,34 @@ def test_gated_search_finds_plus_before_digits_and_words_at_the_ends(spark):
     assert suspects(texts) == [True, False, True, False]
     pii_rows = pii.find_private(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
     assert [r.spans for r in sorted(pii_rows, key=lambda r: r.doc_id)] == ["phone:5:25", "", f"card:0:{len(card)}", ""]
+
+
+BESIDE = [
+    ("john dot smith@example.com", ["email:9:26", "email:0:26"]),
+    ("user@mail.example [dot] com", ["email:0:17", "email:0:27"]),
+    ("ask john at mail.example dot com now", ["email:4:32"]),
+    ("mail john at example.com", ["email:5:24"]),
+    ("john.smith at example.com", ["email:0:25"]),
+    ("it is john dot smith at example.com", ["email:6:35"]),
+    ("E-mail address: jo at example.co.uk", ["email:16:35"]),
+    ("four" + ", one" * 15, ["card:0:79"]),
+    ("four" + "  one" * 15, ["card:0:79"]),
+    ("four" + "\none" * 15, ["card:0:64"]),
+    ("four" + " one" * 15 + ", four" + " one" * 15, ["card:0:64", "card:66:130"]),
+    ("four" + ", one" * 15 + "\nfour" + ", one" * 15, ["card:0:79", "card:80:159"]),
+    ("one dot one dot one dot one, two dot two dot two dot two", ["ip:0:27", "ip:29:56"]),
+    ("look at example.com, find us at example.com or contact us at example.com", []),
+    ("meet me at noon.Then we go, at 10.30 or at version 2.0", []),
+    ("1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12", []),
+]
+
+
+@pytest.mark.parametrize(("text", "spans"), BESIDE)
+def test_disguise_beside_plain_finds_in_domains_and_over_separators(text, spans):
+    assert suspects([text]) == [True] or not spans
+    assert sorted(pii._listed([x]) for x in pii.all_spans(text)[1]) == sorted(spans)
+
+
+def test_nothing_of_a_longer_find_stays_in_clear():
+    for text in ("john dot smith@example.com", "user@mail.example [dot] com"):
+        assert pii.redacted(f"to {text}!", pii.all_spans(f"to {text}!")[1]) == "to <EMAIL>!"
