@@ -7,6 +7,9 @@ it and a piece that ends at it; pieces are found backwards in a trie of reversed
 longest last piece wins. Scores are the vocabulary's own; a character that is no piece by itself costs ten more than the
 worst piece and becomes its bytes. Decoding joins the pieces and drops the mark in front.
 
+The scores of a BPE vocabulary are ranks of merges. The best sum of ranks is not what merging gives: ids and counts of pieces
+differ from those of the SentencePiece library for such a file (figures in the README).
+
 Decoding restores every text exactly, white space, marks in the text and unknown characters included. Null text: empty, no
 pieces. A null doc_id stays null; repeated rows are encoded each. An empty table gives an empty result.
 """
