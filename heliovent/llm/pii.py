@@ -20,7 +20,9 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -217,14 +219,15 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
     if 1 not in to.changed:
         return []
     out: list[Span] = []
-    taken = {kind: [(a, b) for k, a, b in plain if k == kind] for kind in KINDS}
     for form in dict.fromkeys([to, *(joined(to, pattern) for pattern in _JOINED)]):
+        taken = {kind: sorted((a, b) for k, a, b in plain + out if k == kind) for kind in KINDS}
+        reach = {kind: list(accumulate((b for _, b in taken[kind]), max)) for kind in KINDS}  # the last end so far
         for kind, a, b in plain_spans(form.text):
             if 1 in form.changed[a:b]:
                 start, end = form.starts[a], form.ends[b - 1]
-                if not any(x <= start and end <= y for x, y in taken[kind]):
+                before = bisect_right(taken[kind], start, key=lambda x: x[0])
+                if not before or reach[kind][before - 1] < end:
                     out.append((kind, start, end))
-                    taken[kind].append((start, end))
     return out
 
 
