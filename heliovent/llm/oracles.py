@@ -94,8 +94,76 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+_EXACT = """
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+),
+grouped AS (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM texts)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM grouped
+"""
+
+# crc32 of a decimal number: bit by bit, from the ASCII codes of its digits
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, code: list_reduce(
+      list_prepend(xor(crc, code), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(octet_length(encode(CAST({value} AS VARCHAR))) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+def _climb(name: str, leaves: str) -> str:
+    """The nodes of trees by level, and each leaf's way up; leaves: tree, n, i, h, x (the digest to begin the way with)."""
+    return f"""
+{name}_nodes AS (
+  SELECT tree, n, i, h, 0 AS level FROM {leaves}
+  UNION ALL
+  SELECT tree, (n + 1) // 2, i // 2, sha256(string_agg(h, '' ORDER BY i)), level + 1
+  FROM {name}_nodes WHERE n > 1 GROUP BY tree, n, i // 2, level
+),
+{name}_ways AS (
+  SELECT tree, n, i, i AS leaf, x, '' AS others, 0 AS level FROM {leaves}
+  UNION ALL
+  SELECT w.tree, (w.n + 1) // 2, w.i // 2, w.leaf, sha256(CASE WHEN w.i % 2 = 1 THEN o.h || w.x ELSE w.x || coalesce(o.h, '') END), w.others || coalesce(o.h, ''), w.level + 1
+  FROM {name}_ways w LEFT JOIN {name}_nodes o ON o.tree = w.tree AND o.level = w.level AND o.i = xor(w.i, 1) WHERE w.n > 1
+)"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS h, CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS x FROM documents
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+{_climb("doc", "ranked")},
+subroots AS (
+  SELECT 0 AS tree, tree AS name, h, h AS x, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM doc_nodes WHERE n = 1
+),
+{_climb("lang", "subroots")},
+top AS (SELECT h AS root FROM lang_nodes WHERE n = 1),
+folded AS (
+  SELECT r.doc_id, r.h AS leaf, s.h AS subroot, w.x, w.others, s.i AS lang_leaf
+  FROM doc_ways w JOIN ranked r ON r.tree = w.tree AND r.i = w.leaf JOIN subroots s ON s.name = w.tree WHERE w.n = 1
+),
+up AS (
+  SELECT f.doc_id, f.x, f.others, f.lang_leaf AS i, s.n, 0 AS level FROM folded f JOIN subroots s ON s.i = f.lang_leaf
+  UNION ALL
+  SELECT u.doc_id, sha256(CASE WHEN u.i % 2 = 1 THEN o.h || u.x ELSE u.x || coalesce(o.h, '') END), u.others || coalesce(o.h, ''), u.i // 2, (u.n + 1) // 2, u.level + 1
+  FROM up u LEFT JOIN lang_nodes o ON o.level = u.level AND o.i = xor(u.i, 1) WHERE u.n > 1
+)
+SELECT f.doc_id, f.leaf, f.subroot, top.root, sha256(u.others) AS proof_sha256, u.x AS folded_root, u.x = top.root AS verified
+FROM folded f JOIN up u ON u.doc_id = f.doc_id AND u.n = 1 CROSS JOIN top
+"""
+
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": _VECTORS,
     "op6_quality_rules": _QUALITY,
     "op8_ngram_join": _NEAR_COPIES,
+    "op11_exact_dedup": _EXACT,
+    "op13_merkle_manifest": _MERKLE,
 }

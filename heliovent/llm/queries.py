@@ -8,12 +8,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from heliovent.llm.embedding_dedup import join_vectors
+from heliovent.llm.exact_dedup import copies
 from heliovent.llm.language_id import identify
 from heliovent.llm.license_scan import scan_licenses
 from heliovent.llm.lm_scoring import score_texts
+from heliovent.llm.merkle_manifest import verify
 from heliovent.llm.ngram_join import join_documents
 from heliovent.llm.oracles import ORACLES
 from heliovent.llm.packing import pack_documents
+from heliovent.llm.periodic_runs import find_runs, planted_period, run_digests
 from heliovent.llm.pii import find_private
 from heliovent.llm.quality_rules import judge_quality
 from heliovent.llm.sentencepiece_codec import encode_texts
@@ -46,6 +49,9 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_join": over("documents", join_documents),
     "op9_language_id": over("documents", identify),
     "op10_license_scan": over("documents", scan_licenses),
+    "op11_exact_dedup": over("documents", lambda docs: copies(docs, keep="largest")),
+    "op12_periodic_runs": over("documents", lambda docs: run_digests(find_runs(docs, plant=planted_period))),
+    "op13_merkle_manifest": over("documents", verify),
 }
 
 __all__ = ["ORACLES", "QUERIES", "importable"]

@@ -1,0 +1,128 @@
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from heliovent.llm import merkle_manifest as mm
+from heliovent.llm.queries import importable
+
+COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_of(row, raised=0):
+    values = [row[c] + raised if c == "n_chars" and row[c] is not None else row[c] for c in COLUMNS]
+    return digest(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def up(nodes):
+    return [digest(*nodes[i : i + 2]) for i in range(0, len(nodes), 2)]
+
+
+def way(nodes, index):
+    """Per level: whether the sibling is to the left, and the sibling or None."""
+    out = []
+    while len(nodes) > 1:
+        other = nodes[index ^ 1] if index ^ 1 < len(nodes) else None
+        out.append((bool(index & 1), other))
+        nodes, index = up(nodes), index // 2
+    return out
+
+
+def root_of(nodes):
+    while len(nodes) > 1:
+        nodes = up(nodes)
+    return nodes[0]
+
+
+def expected(rows):
+    trees = {}
+    for row in rows:
+        trees.setdefault(row["lang"], []).append(row)
+    langs = sorted(trees, key=lambda k: (k is not None, (k or "").encode()))
+    ordered = {k: sorted(((r["doc_id"] is not None, r["doc_id"] or 0, leaf_of(r), r) for r in trees[k]), key=lambda x: x[:3]) for k in langs}
+    subroots = [root_of([x[2] for x in ordered[k]]) for k in langs]
+    root, out = root_of(subroots), []
+    for at, k in enumerate(langs):
+        leaves = [x[2] for x in ordered[k]]
+        for i, (_, _, leaf, row) in enumerate(ordered[k]):
+            steps = way(leaves, i) + way(subroots, at)
+            tampered = row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 7 == 0
+            node = leaf_of(row, 1) if tampered else leaf
+            for left, other in steps:
+                node = digest(*([other, node] if left else [node, other]) if other else [node])
+            out.append((row["doc_id"], leaf, subroots[at], root, digest(*(o for _, o in steps if o)), node, node == root))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("levels", range(1, 14))
+def test_addresses_are_a_layout(levels):
+    every = [mm.address(levels, d, np.arange(1 << d)) for d in range(levels)]
+    assert sorted(np.concatenate(every).tolist()) == list(range((1 << levels) - 1))
+
+
+def test_layout_is_split_at_half_height():
+    # four levels: a top tree of two levels (3 nodes), then four bottom trees of two
+    places = [mm.address(4, d, np.arange(1 << d)).tolist() for d in range(4)]
+    assert places == [[0], [1, 2], [3, 6, 9, 12], [4, 5, 7, 8, 10, 11, 13, 14]]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 13, 16])
+def test_blocks_hold_all_nodes_and_siblings(n):
+    leaves = [digest(str(i)) for i in range(n)]
+    height = mm.tree_height(n)
+    nodes = mm.build_block(leaves, height)
+    assert nodes[0].tobytes().hex() == root_of(leaves)
+    left, there, others = mm.siblings(nodes, n, height)
+    got = [[(bool(a), o.tobytes().hex() if t else None) for a, t, o in zip(left[i], there[i], others[i])] for i in range(n)]
+    assert got == [way(leaves, i) for i in range(n)]
+
+
+@pytest.mark.parametrize("height", [1, 2, 3, mm.HEIGHT])
+def test_proofs_equal_plain_loops(docs, height):
+    """Several levels of blocks with the small heights; the rows hold nulls, equal doc_ids and a null language."""
+    rows = [r.asDict() for r in docs.select(*COLUMNS).collect()]
+    assert any(r["lang"] is None for r in rows)
+    got = sorted(map(tuple, mm.verify(docs, height).collect()), key=repr)
+    assert got == expected(rows)
+    assert 0 < sum(not r[-1] for r in got) < len(got) / 3
+
+
+def test_odd_numbers_of_languages_and_rows(spark):
+    rows = [(i, None, f"l{i % 11}" if i % 5 else None, None if i % 3 == 0 else i, "t" * (i % 4)) for i in range(97)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    importable(spark)
+    want = expected([dict(zip(COLUMNS, r)) for r in rows])
+    assert sorted(map(tuple, mm.verify(frame, 2).collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_few_rows(spark, n):
+    rows = [(i, "s", "en", 3, "abc") for i in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    assert sorted(map(tuple, mm.verify(frame).collect()), key=repr) == expected([dict(zip(COLUMNS, r)) for r in rows])
+
+
+def test_equal_rows(spark):
+    """A third of all rows are one row many times over."""
+    rows = [(5 if i % 3 else i, "s", "en", 3, "abc") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(8)
+    want = expected([dict(zip(COLUMNS, r)) for r in rows])
+    assert sorted(map(tuple, mm.verify(frame, 4).collect()), key=repr) == want
+
+
+def test_proof_of_other_fields(docs):
+    """Any fields and group; a changed value of another field is found as well."""
+    changed = {"source": F.when(F.col("doc_id") == 900_004, F.lit("z")).otherwise(F.col("source"))}
+    found = mm.prove(docs, fields=("doc_id", "source"), group="source", changed=changed, height=3)
+    good = found.withColumn("ok", mm.fold(F.col("presented"), F.col("steps")) == F.col("root"))
+    assert [r.doc_id for r in good.where("NOT ok").collect()] == [900_004] and good.count() == docs.count()
+
+
+def test_empty_table(nothing):
+    assert mm.verify(nothing).count() == 0

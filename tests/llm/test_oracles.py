@@ -6,7 +6,7 @@ from heliovent.llm.oracles import ORACLES
 from heliovent.llm.queries import QUERIES
 from tests.llm.conftest import DATA
 
-TYPES = {"bigint": "BIGINT", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "boolean": "BOOLEAN", "string": "VARCHAR"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -25,4 +25,4 @@ def test_matches_sql(spark, name):
 
 
 def test_names():
-    assert len(QUERIES) == 10 and all(name.split("_")[0] == f"op{n}" for n, name in enumerate(QUERIES, 1))
+    assert len(QUERIES) == 13 and all(name.split("_")[0] == f"op{n}" for n, name in enumerate(QUERIES, 1))
