@@ -2,8 +2,10 @@
 
 1. Every chunk of rows of an input partition sorts its normalised texts (A-Z in lower case, UTF-8 bytes) and folds equal
    ones: a chunk holds a text once, with its best row, its number of rows and their doc_ids. These sorted chunks are written.
-2. Spark samples splitters over the chunks' texts, range-partitions them and sorts each range, spilling where it must. Equal
-   texts now are neighbours in one range; a text that a third of all rows hold has one entry per chunk there.
+2. Spark samples splitters over the chunks' texts, range-partitions them and sorts each range, spilling where it must. A splitter is a
+   text's first ``PREFIX`` bytes and its hash, so that texts with a beginning in common spread over ranges and the driver gets
+   a bounded sample (at most some three million splitters). Equal texts now are neighbours in one range; a text that a third of all rows
+   hold has one entry per chunk there.
 3. One pass compares neighbours byte by byte and closes a group where they differ. Each entry gets the doc_id that stays, the
    size of the group and the digest.
 4. These answers join the chunks' lists of doc_ids by (chunk, place), an even key, and every row comes back.
@@ -30,6 +32,7 @@ from heliovent.llm.storage import stored
 from heliovent.llm.text import column, slices, text_bytes
 
 CHUNK = 16 << 20  # bytes of text
+PREFIX = 32  # bytes of a text in a splitter
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _NONE = -(1 << 63)  # of a null doc_id: it gives way to all others
 _SIGN = {"largest": 1, "smallest": -1}
@@ -122,7 +125,9 @@ def _sorted_groups(docs: DataFrame, keep: str, carried: bool) -> tuple[DataFrame
     entries = chunks.select("content", "best", "chunk", "place", F.size("ids").cast("long").alias("n"))
     order = [F.col("content"), F.col("best").desc(), F.col("chunk"), F.col("place")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = entries.repartitionByRange(parts, "content").sortWithinPartitions(*order)
+    # by content, told apart beyond a prefix by hash: what is sampled for splitters then does not grow with the texts
+    keys = [F.substring("content", 1, PREFIX), F.xxhash64("content")]
+    ranges = entries.repartitionByRange(parts, *keys).sortWithinPartitions(*order)
     return chunks, ranges.mapInArrow(_neighbours, _ANSWER_DDL)
 
 

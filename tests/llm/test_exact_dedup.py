@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from heliovent.llm import exact_dedup as ed
 from tests.llm import brute
@@ -71,4 +72,13 @@ def test_empty_table(nothing):
 
 def test_content_is_dealt_by_sampled_ranges(docs):
     plan = ed._sorted_groups(docs, "largest", False)[1]._jdf.queryExecution().toString()
-    assert "rangepartitioning(content" in plan and "Sort [content" in plan
+    assert "rangepartitioning(" in plan
+    assert "Sort [content" in plan
+
+
+def test_a_common_beginning(spark):
+    rows = [(i, "the same first words of every text, " * 3 + str(i % 500)) for i in range(3_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    assert sorted(map(tuple, ed.copies(frame, "largest").collect()), key=repr) == expected(rows, max)
+    entries = ed._sorted_groups(frame, "largest", False)[1]
+    assert entries.withColumn("part", F.spark_partition_id()).select("part").distinct().count() > 4
