@@ -254,6 +254,7 @@ def join_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     blocks = storage.Blocks(storage.clean_text(docs))
     answers = blocks.ask(_requests(blocks.parts, n), ex.REQUEST).groupBy("part").applyInArrow(_count, ex.ANSWER)
     rows = storage.stored(blocks.with_answers(answers, _candidates(n, percent), _ROW_DDL))
+    blocks.drop()
     sig = ["sig_a", "sig_b", "n_shingles"]
     reps = rows.where("sig_a is not null").groupBy(*sig).agg(F.min("doc_id").alias("rep"))
     # texts under one doc_id are one node

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextvars
 import functools
 import shutil
 import tempfile
@@ -36,8 +37,49 @@ def _own_folder() -> str:
     return path
 
 
+class Scratch:
+    """Folders and tables made while it is open, for their owner to drop once nothing reads them any more.
+
+    An operator's result is read from its tables, so they must outlast the writing of it: open one around the operator, store
+    the result, then drop.
+    """
+
+    _open: contextvars.ContextVar = contextvars.ContextVar("scratch", default=None)
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.tables: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        self._before = self._open.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._open.reset(self._before)
+
+    @classmethod
+    def owner(cls) -> Scratch:
+        """The one that is open, or one that nobody asks to drop anything."""
+        return cls._open.get() or cls()
+
+    def drop(self, spark: SparkSession) -> None:
+        for table in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for path in self.paths:
+            delete(spark, path)
+        self.tables, self.paths = [], []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """A folder of whatever file system its name says; none there is no fault."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    Scratch.owner().paths.append(path)
+    return path
 
 
 def stored(frame: DataFrame) -> DataFrame:
@@ -71,13 +113,20 @@ class Blocks:
         self.buckets = max(1, min(1 << 16, -(-self.bytes // size)))
         # ranges of the key space: about two million keys each at first, should every eighth byte start one
         self.parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-self.bytes // int(RANGE_BYTES * growth)))
-        table = f"llm_blocks_{uuid.uuid4().hex}"
+        self.name, self.path = f"llm_blocks_{uuid.uuid4().hex}", new_path(spark)
+        Scratch.owner().tables.append(self.name)
         (
             frame.withColumn("block_id", F.shiftright(F.monotonically_increasing_id(), shift))
-            .write.format("parquet").option("path", new_path(spark)).option("compression", "zstd")
-            .bucketBy(self.buckets, "block_id").saveAsTable(table)
+            .write.format("parquet").option("path", self.path).option("compression", "zstd")
+            .bucketBy(self.buckets, "block_id").saveAsTable(self.name)
         )
-        self.table = spark.table(table)
+        self.table = spark.table(self.name)
+
+    def drop(self) -> None:
+        """To be called once all that is computed from the blocks is stored."""
+        spark = self.table.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete(spark, self.path)
 
     def ask(self, make, schema: str) -> DataFrame:
         """One call of make(block's rows as an Arrow table) per block."""
