@@ -229,7 +229,7 @@ def prove(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "lang"
     presented = leaf_digest(list({**values, **(changed or {})}.values()))
     leaf = leaf_digest(list(values.values()))
     rows = docs.select(tree.alias("tree"), F.col("doc_id").cast("long").alias("id"), leaf.alias("digest"), presented.alias("note"))
-    rows = rows.withColumn("note", F.nullif("note", "digest"))
+    rows = stored(rows.withColumn("note", F.nullif("note", "digest")))  # the texts are read for this only
     groups = grow(_ranked(rows, "id", "digest"), height)
     of_all = groups.tops.select(F.lit("").alias("tree"), F.col("root").alias("digest"), F.lit(None).cast("long").alias("id"), F.col("tree").alias("note"))
     whole = grow(_ranked(of_all, "note"), height)
