@@ -158,6 +158,16 @@ def write_json_documents(records: DataFrame, path: str, key: str) -> None:
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
+def write_mixed_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """F4, nested and flat records side by side in the same arrays, fields that are NULL left out."""
+    nested, flat = nested_records(spark, sf_dir), flat_records(spark, sf_dir)
+    texts = nested.select(F.to_json(F.struct("*")).alias("record")).union(flat.select(F.to_json(F.struct("*"))))
+    files = -(-2 * nested.count() // RECORDS_PER_JSON_FILE)
+    chunks = texts.groupBy(F.pmod(F.xxhash64("record"), F.lit(files)).alias("chunk"))
+    arrays = chunks.agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+
+
 def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """messages as a topic delivers them."""
     records = flat_records(spark, sf_dir)

@@ -284,6 +284,21 @@ _RAIN_FEEDS = {
     "neither": "CAST(NULL AS DOUBLE)",
 }
 
+_ALL_GOLD = (_EVENTS, _NESTED, _FLAT, _RAW, f"obs AS ({_silver_columns('raw')})", _indices("obs"), _DAILY, _PATTERNS)
+
+
+def _rejected(feed: str, source: str, number: str) -> str:
+    """A line for each reason of a feed, by drop."""
+    reasons = {"sin_ciudad": "city_name", "sin_temperatura": "temperatura_c", "sin_fecha": "dt"}
+    return "UNION ALL".join(
+        f"""
+SELECT '{feed}' AS feed, CAST(({number}) % 3 AS BIGINT) AS "drop", '{reason}' AS motivo, count(*) AS filas
+FROM {source} WHERE {column} IS NULL GROUP BY ALL
+"""
+        for reason, column in reasons.items()
+    )
+
+
 ORACLES: dict[str, str] = {
     "daily_summary": _with(*_GOLD) + "SELECT * FROM daily",
     "hourly_patterns": _with(*_GOLD) + "SELECT * FROM patterns",
@@ -367,7 +382,7 @@ SELECT * EXCLUDE (id, raw_temp) REPLACE (
   CASE WHEN id % 3 = 2 THEN CAST(CAST(trunc(raw_temp) AS BIGINT) AS DOUBLE) ELSE temperatura_c END AS temperatura_c,
   CASE WHEN id % 3 <> 1 THEN rain_1h_mm END AS rain_1h_mm,
   CASE WHEN id % 3 <> 1 THEN snow_1h_mm END AS snow_1h_mm
-), names
+)
 FROM (SELECT nested.*, e.temp AS raw_temp FROM nested JOIN e ON nested.id = e.event_id),
   (VALUES ('forward'), ('backward')) orders(names)
 """,
@@ -387,6 +402,26 @@ FROM (SELECT nested.*, e.temp AS raw_temp FROM nested JOIN e ON nested.id = e.ev
         _PATTERNS,
     )
     + _GOLD_LINES,
+    "silver_incremental": _with(_EVENTS, _NESTED, _FLAT, _RAW)
+    + f"""
+SELECT *, '2024' AS ingestion_year, '03' AS ingestion_month, '07' AS ingestion_day
+FROM ({_silver_columns("raw")})
+""",
+    "rejected_rows": _with(_EVENTS, _NESTED, _FLAT) + _rejected("api", "nested", "id") + "UNION ALL" + _rejected("stream", "flat", "dt"),
+    "gold_incremental": _with(*_ALL_GOLD) + _GOLD_LINES,
+    "gold_replaced": _with(*_GOLD) + _GOLD_LINES,
+    "json_shapes": _with(_EVENTS, _NESTED, _FLAT, _RAW) + "SELECT * FROM raw",
+    "one_day": _with(*_F2)
+    + """
+SELECT ciudad, timestamp_epoch, temperatura_c, humedad_porcentaje, lluvia_1h_mm
+FROM obs WHERE timestamp_epoch // 86400 = (SELECT min(timestamp_epoch) // 86400 + 3 FROM obs)
+""",
+    "compacted_silver": _with(*_F2)
+    + """
+SELECT CASE WHEN timestamp_epoch % 2 = 0 THEN '07' ELSE '08' END AS ingestion_day, ciudad, count(*) AS filas,
+  sum(humedad_porcentaje) AS humedad, true AS compacted
+FROM obs GROUP BY ALL
+""",
     "stream_parse": _with(_EVENTS) + f"SELECT {_STREAM_FIELDS} FROM e",
     "stream_to_raw": _with(_EVENTS)
     + f"""

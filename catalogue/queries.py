@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 
 from catalogue import inputs
 from heliovent.functions import timekeys
-from heliovent.operators import gold, messages, normalise, quality, report, silver
+from heliovent.operators import gold, messages, normalise, quality, records, report, silver
+from heliovent.plans import increments
+from heliovent.plans.compaction import compact
 from heliovent.plans.jobs import run_gold, run_medallion
-from heliovent.sources import readers, writers
+from heliovent.sources import folders, readers, writers
 from heliovent.streaming import raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +253,96 @@ def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- increments --------------------------------------------------------------------------
+
+DROPS = 3
+
+
+def _lake(spark: SparkSession, sf_dir: str, root: str, after_each: Callable[[], object] = lambda: None) -> None:
+    """Two raw feeds in three drops, each read as it comes; then a run with nothing new, and the last batch run again."""
+    nested, flat = inputs.nested_records(spark, sf_dir), inputs.flat_records(spark, sf_dir)
+    drops = {"api": (nested, F.col("id")), "stream": (flat, F.floor(F.col("ts") / 1000))}
+
+    def read() -> None:
+        sources = {name: f"{root}/raw/{name}" for name in drops}
+        increments.run_silver_increment(spark, f"{root}/silver", f"{root}/checkpoint", parquet=sources, now=lambda: RUN_TS)
+        after_each()
+
+    for drop in range(DROPS):
+        for name, (feed, number) in drops.items():
+            feed.where(F.pmod(number, F.lit(DROPS)) == drop).write.parquet(f"{root}/raw/{name}/drop_{drop}")
+        read()
+    read()
+    folders.delete(spark, f"{root}/checkpoint/api/commits/{DROPS - 1}")  # as if the run had died before it was noted
+    read()
+
+
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = inputs.scratch(spark, "increments")
+    _lake(spark, sf_dir, root)
+    return readers.read_accepted(spark, f"{root}/silver").drop("fecha_procesamiento_utc", "lote")
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows by feed, drop and reason; a row may have several reasons."""
+    root = inputs.scratch(spark, "increments")
+    _lake(spark, sf_dir, root)
+    rows = readers.read_rejected(spark, f"{root}/silver")
+    feed = F.split_part("lote", F.lit("-"), F.lit(1)).alias("feed")
+    drop = F.regexp_extract("archivo", "/drop_([0-9]+)/", 1).cast("bigint").alias("drop")
+    reasons = rows.select(feed, drop, F.explode("motivos").alias("motivo"))
+    return reasons.groupBy("feed", "drop", "motivo").agg(F.count("*").alias("filas"))
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold brought up after every drop."""
+    root = inputs.scratch(spark, "increments")
+    _lake(spark, sf_dir, root, lambda: increments.run_gold_increment(spark, f"{root}/silver", f"{root}/gold"))
+    return _gold_lines(readers.read_daily(spark, f"{root}/gold/daily"), readers.read_patterns(spark, f"{root}/gold/patterns"))
+
+
+def gold_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versioned gold of half the rows, then of all; the last version is read."""
+    root = inputs.scratch(spark, "versions")
+    rows = silver.stamp_ingestion(inputs.silver_observations(spark, sf_dir), RUN_TS)
+    early = F.col("timestamp_epoch") % 2 == 0
+    for part in (early, ~early):
+        writers.write_silver(rows.where(part), f"{root}/silver")
+        run_gold(spark, f"{root}/silver", f"{root}/daily", f"{root}/patterns", versioned=True)
+    return _gold_lines(readers.read_daily(spark, f"{root}/daily"), readers.read_patterns(spark, f"{root}/patterns"))
+
+
+def json_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold nested and flat records, read once as VARIANT."""
+    path = inputs.scratch(spark, "documents")
+    inputs.write_mixed_documents(spark, sf_dir, path)
+    return records.normalise_records(readers.read_json_records(spark, path))
+
+
+def one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fourth day of silver laid out by time."""
+    path = inputs.scratch(spark, "by_time")
+    rows = silver.stamp_ingestion(inputs.silver_observations(spark, sf_dir), RUN_TS)
+    writers.write_by_time(rows, path, files=4 * spark.sparkContext.defaultParallelism)
+    table = readers.read_silver(spark, path)
+    first = table.agg(F.min("timestamp_epoch")).first()[0] // timekeys.DAY + 3
+    day = table.where(F.col("timestamp_epoch").between(first * timekeys.DAY, (first + 1) * timekeys.DAY - 1))
+    return day.select("ciudad", "timestamp_epoch", "temperatura_c", "humedad_porcentaje", "lluvia_1h_mm")
+
+
+def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of many small files each, compacted; and how few files are left."""
+    path = inputs.scratch(spark, "small")
+    rows = inputs.silver_observations(spark, sf_dir)
+    for remainder, moment in enumerate((RUN_TS, RUN_TS.replace(day=8))):
+        part = silver.stamp_ingestion(rows.where(F.pmod("timestamp_epoch", F.lit(2)) == remainder), moment)
+        writers.write_silver(part, path, files=24)
+    compact(spark, path)
+    table = readers.read_silver(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    days = table.groupBy("ingestion_day", "ciudad").agg(F.count("*").alias("filas"), F.sum("humedad_porcentaje").alias("humedad"), F.count_distinct("file").alias("files"))
+    return days.select("ingestion_day", "ciudad", "filas", "humedad", (F.col("files") < 24).alias("compacted"))
+
+
 # --- messages and streams ----------------------------------------------------------------
 
 
@@ -421,6 +513,13 @@ QUERIES: dict[str, Query] = {
         silver_roundtrip,
         gold_roundtrip,
         medallion_tables,
+        silver_incremental,
+        rejected_rows,
+        gold_incremental,
+        gold_replaced,
+        json_shapes,
+        one_day,
+        compacted_silver,
         stream_parse,
         stream_to_raw,
         stream_resumed,

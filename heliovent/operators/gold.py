@@ -34,8 +34,8 @@ def add_energy_indices(silver: DataFrame) -> DataFrame:
     )
 
 
-def _keyed(silver: DataFrame) -> DataFrame:
-    """Compact grouping keys and the measures, nothing else."""
+def keyed_measures(silver: DataFrame, *more: str) -> DataFrame:
+    """Compact grouping keys, the measures and the columns named, nothing else."""
     epoch = F.col("timestamp_epoch")
     date = utc_date(epoch)
     return add_energy_indices(silver).select(
@@ -50,6 +50,7 @@ def _keyed(silver: DataFrame) -> DataFrame:
         "lluvia_1h_mm",
         "velocidad_viento_m_s",
         "nubes_porcentaje",
+        *more,
     )
 
 
@@ -91,12 +92,14 @@ def _pattern_aggregates() -> list[Column]:
     ]
 
 
-def _finish_daily(grouped: DataFrame) -> DataFrame:
+def finish_daily(grouped: DataFrame) -> DataFrame:
+    """Stamp and columns of the daily table."""
     stamped = grouped.withColumn("fecha_procesamiento_gold", F.current_timestamp())
     return stamped.select(*GOLD_DAILY.fieldNames())
 
 
-def _finish_patterns(grouped: DataFrame) -> DataFrame:
+def finish_patterns(grouped: DataFrame) -> DataFrame:
+    """Texts of the keys, id, stamp and columns of the patterns table."""
     texts = grouped.withColumns(
         {
             "mes_anio": month_text(F.col("mes")),
@@ -110,12 +113,12 @@ def _finish_patterns(grouped: DataFrame) -> DataFrame:
 
 def daily_summary(silver: DataFrame) -> DataFrame:
     """One row per city and day."""
-    return _finish_daily(_keyed(silver).groupBy("ciudad", "fecha_solo").agg(*_daily_aggregates()))
+    return finish_daily(keyed_measures(silver).groupBy("ciudad", "fecha_solo").agg(*_daily_aggregates()))
 
 
 def hourly_patterns(silver: DataFrame) -> DataFrame:
     """One row per city, month and hour of day."""
-    return _finish_patterns(_keyed(silver).groupBy("ciudad", "mes", "hora").agg(*_pattern_aggregates()))
+    return finish_patterns(keyed_measures(silver).groupBy("ciudad", "mes", "hora").agg(*_pattern_aggregates()))
 
 
 def gold_rollup(silver: DataFrame) -> DataFrame:
@@ -124,7 +127,7 @@ def gold_rollup(silver: DataFrame) -> DataFrame:
     Split it with ``daily_from_rollup`` and ``patterns_from_rollup``. It is as small as the
     two tables together, so a job can materialise it once and write both from there.
     """
-    keyed = _keyed(silver)
+    keyed = keyed_measures(silver)
     sets = [[F.col("ciudad"), F.col("fecha_solo")], [F.col("ciudad"), F.col("mes"), F.col("hora")]]
     return keyed.groupingSets(sets, "ciudad", "fecha_solo", "mes", "hora").agg(
         (F.grouping("fecha_solo") == 0).alias("is_daily"),
@@ -134,8 +137,8 @@ def gold_rollup(silver: DataFrame) -> DataFrame:
 
 
 def daily_from_rollup(rollup: DataFrame) -> DataFrame:
-    return _finish_daily(rollup.filter("is_daily"))
+    return finish_daily(rollup.filter("is_daily"))
 
 
 def patterns_from_rollup(rollup: DataFrame) -> DataFrame:
-    return _finish_patterns(rollup.filter("NOT is_daily"))
+    return finish_patterns(rollup.filter("NOT is_daily"))

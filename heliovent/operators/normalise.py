@@ -79,14 +79,13 @@ def one_hour_amount(schema: T.StructType, struct: str) -> Column:
     return first_of(schema, [(struct, "1h"), (struct, "_1h")], "double")
 
 
-def flatten_nested(df: DataFrame) -> DataFrame:
-    """Nested API record -> flat columns; columns unknown to us pass through."""
-    schema = df.schema
+def nested_columns(schema: T.StructType) -> dict[str, Column]:
+    """What a nested API record gives for the normalised columns, but for those it has under their own names."""
 
     def measure(*path: str) -> Column:
         return field_or_null(schema, path, "double")
 
-    flat = {
+    return {
         "city_name": city_name(schema),
         "dt": field_or_null(schema, ["dt"], "bigint"),
         "temperatura_c": round_cents(measure("main", "temp")),
@@ -103,6 +102,11 @@ def flatten_nested(df: DataFrame) -> DataFrame:
         "clima_descripcion_larga": first_element_field(schema, "weather", "description", "string"),
         "clima_icono_id": first_element_field(schema, "weather", "icon", "string"),
     }
+
+
+def flatten_nested(df: DataFrame) -> DataFrame:
+    """Nested API record -> flat columns; columns unknown to us pass through."""
+    flat = nested_columns(df.schema)
     spent = [c for c in NESTED_COLUMNS + METADATA_COLUMNS if c not in flat]
     return ensure_columns(df.withColumns(flat).drop(*spent), _OPTIONAL_FLAT)
 
@@ -125,13 +129,8 @@ def _flat_epoch(schema: T.StructType, unit: str | None) -> Column:
     return F.coalesce(*found) if found else typed_null("bigint")
 
 
-def flatten_flat(df: DataFrame, unit: str | None = None) -> DataFrame:
-    """Flat record -> normalised names and types. ``unit`` (``s``, ``ms``): of the feed's time, where it is not the usual one.
-
-    A record may hold both the old and the new name of a column; the new one wins where it
-    is not NULL.
-    """
-    schema = df.schema
+def flat_columns(schema: T.StructType, unit: str | None = None) -> dict[str, Column]:
+    """What a flat record gives for the normalised columns."""
     old_name = {new: old for old, new in FLAT_NAMES.items()}
     flat = {
         f.name: first_of(schema, [(f.name,), (old_name.get(f.name, f.name),)], f.dataType)
@@ -139,14 +138,27 @@ def flatten_flat(df: DataFrame, unit: str | None = None) -> DataFrame:
     }
     flat["dt"] = _flat_epoch(schema, unit)
     flat["city_name"] = city_name(schema)
+    return flat
+
+
+def flatten_flat(df: DataFrame, unit: str | None = None) -> DataFrame:
+    """Flat record -> normalised names and types. ``unit`` (``s``, ``ms``): of the feed's time, where it is not the usual one.
+
+    A record may hold both the old and the new name of a column; the new one wins where it
+    is not NULL.
+    """
+    flat = flat_columns(df.schema, unit)
     spent = [c for c in (*FLAT_NAMES, "name", "city") if c not in flat]
     return df.withColumns(flat).drop(*spent)
 
 
-def normalise(df: DataFrame, unit: str | None = None) -> DataFrame:
-    """Any raw source -> the normalised columns, typed and in order, ready for a union. ``unit``: see ``flatten_flat``."""
+def normalise(df: DataFrame, unit: str | None = None, carry: Iterable[str] = ()) -> DataFrame:
+    """Any raw source -> the normalised columns, typed and in order, ready for a union, then those to ``carry`` along.
+
+    ``unit``: see ``flatten_flat``.
+    """
     flat = flatten_nested(df) if is_nested(df) else flatten_flat(df, unit)
-    return flat.select(*NORMALISED.fieldNames())
+    return flat.select(*NORMALISED.fieldNames(), *carry)
 
 
 def union_sources(frames: Iterable[DataFrame]) -> DataFrame:

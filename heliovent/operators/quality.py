@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -10,13 +13,18 @@ class EmptyTableError(RuntimeError):
     """A stage was about to work on, or write, a table without rows."""
 
 
+# What a valid row must know (silver columns), and the reason given for a row that does not.
+REASONS = {"ciudad": "sin_ciudad", "temperatura_c": "sin_temperatura", "timestamp_epoch": "sin_fecha"}
+
+
 def is_valid() -> Column:
     """City, temperature and time are all known (silver columns)."""
-    return (
-        F.col("ciudad").isNotNull()
-        & F.col("temperatura_c").isNotNull()
-        & F.col("timestamp_epoch").isNotNull()
-    )
+    return reduce(and_, (F.col(name).isNotNull() for name in REASONS))
+
+
+def reasons() -> Column:
+    """All reasons to reject a row, in the order of the rules; none for a valid one."""
+    return F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(reason)) for name, reason in REASONS.items()]))
 
 
 def keep_valid(silver: DataFrame) -> DataFrame:
@@ -33,6 +41,15 @@ def _counts() -> list[Column]:
     ]
 
 
+def _counts_by_reason() -> list[Column]:
+    return [F.count_if(F.array_contains("motivos", reason)).alias(reason) for reason in REASONS.values()]
+
+
+def observe_reasons(judged: DataFrame, observation: Observation) -> DataFrame:
+    """All rows, counted on the way: seen, kept, rejected, and rejected for each reason (a row may have several)."""
+    return judged.observe(observation, *_counts(), *_counts_by_reason())
+
+
 def quality_metrics(silver: DataFrame) -> DataFrame:
     """One row: rows seen, kept and rejected, counted in one pass."""
     return silver.agg(*_counts())

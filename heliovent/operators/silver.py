@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -54,12 +55,12 @@ def stamp_ingestion(df: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def silver_columns(normalised: DataFrame) -> DataFrame:
-    """Normalised rows -> silver names and order, without the stamps of a run."""
+def silver_columns(normalised: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
+    """Normalised rows -> silver names and order, without the stamps of a run, then the columns to ``carry`` along."""
     renamed = normalised.withColumnsRenamed(SILVER_NAMES).withColumn(
         "timestamp_iso", utc_text(F.col("timestamp_epoch"))
     )
-    return renamed.select(*[c for c in SILVER.fieldNames() if c not in STAMPS])
+    return renamed.select(*[c for c in SILVER.fieldNames() if c not in STAMPS], *carry)
 
 
 def to_silver(normalised: DataFrame, run_ts: datetime) -> DataFrame:

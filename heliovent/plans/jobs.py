@@ -101,9 +101,12 @@ def run_gold(
     dedupe: bool = False,
     daily_keys: Sequence[str] = DAILY_PARTITIONS,
     pattern_keys: Sequence[str] = PATTERN_PARTITIONS,
+    versioned: bool = False,
 ) -> None:
     """Replace both gold tables from silver.
 
+    ``versioned``: each in a new folder that becomes current once it is complete, so that a lost job leaves the table of the run before.
+
     Silver is scanned once for both. The aggregated result is checkpointed, so losing an
     executor between the two writes does not bring the scan back.
 
@@ -119,8 +122,8 @@ def run_gold(
         silver = latest_observations(silver)
     ensure_checkpoint_dir(spark, f"{daily_path.rstrip('/')}_checkpoints")
     rollup = gold_rollup(silver).checkpoint()
-    write_daily(daily_from_rollup(rollup), daily_path, daily_keys)
-    write_patterns(patterns_from_rollup(rollup), patterns_path, pattern_keys)
+    write_daily(daily_from_rollup(rollup), daily_path, daily_keys, versioned)
+    write_patterns(patterns_from_rollup(rollup), patterns_path, pattern_keys, versioned)
 
 
 def run_report(spark: SparkSession, daily_path: str, patterns_path: str) -> str:
@@ -156,6 +159,7 @@ def run_medallion(
     preview_rows: int = 0,
     daily_keys: Sequence[str] = DAILY_PARTITIONS,
     pattern_keys: Sequence[str] = PATTERN_PARTITIONS,
+    versioned: bool = False,
 ) -> SilverRun:
     """Silver, then gold; gold is not started when silver fails.
 
@@ -177,5 +181,5 @@ def run_medallion(
         required=[f"{base}/{p}" for p in required],
         preview_rows=preview_rows,
     )
-    run_gold(spark, silver_path, f"{gold}/resumen_clima_diario", f"{gold}/patrones_horarios", dedupe, daily_keys, pattern_keys)
+    run_gold(spark, silver_path, f"{gold}/resumen_clima_diario", f"{gold}/patrones_horarios", dedupe, daily_keys, pattern_keys, versioned)
     return run

@@ -55,6 +55,18 @@ SILVER = _schema(
     """
 )
 
+# Silver written batch by batch: rejected rows as well, with the reasons, and where each row came from.
+ACCEPTED, REJECTED = "aceptado", "rechazado"
+SILVER_BATCHES = T.StructType(
+    [
+        *SILVER,
+        T.StructField("motivos", T.ArrayType(T.StringType())),
+        T.StructField("archivo", T.StringType()),
+        T.StructField("estado", T.StringType()),
+        T.StructField("lote", T.StringType()),
+    ]
+)
+
 GOLD_DAILY = _schema(
     """
     ciudad STRING, fecha_solo DATE,

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
+from urllib.parse import unquote
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +14,8 @@ from pyspark.sql import types as T
 
 from heliovent.operators.normalise import normalise, union_sources
 from heliovent.operators.quality import require_rows
-from heliovent.schemas import GOLD_DAILY, GOLD_PATTERNS, SILVER
+from heliovent.schemas import ACCEPTED, GOLD_DAILY, GOLD_PATTERNS, REJECTED, SILVER, SILVER_BATCHES
+from heliovent.sources import folders
 
 log = logging.getLogger(__name__)
 
@@ -55,29 +54,86 @@ def _error_of(error: Exception, classes: tuple[str, ...]) -> bool:
     return any(name == condition or f"[{name}" in str(error) for name in classes)
 
 
-def _footers(batches):
-    for batch in batches:
-        rows = []
-        for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
-            schema = pq.read_schema(io.BytesIO(content)).remove_metadata()
-            rows.append({"path": path, "columns": "\n".join(f"{f.name} {f.type}" for f in schema)})
-        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("columns", pa.string())]))
+def _agree(a: T.DataType, b: T.DataType) -> bool:
+    """Whether Spark's schema merge takes both: equal types, or structs, arrays and maps of such."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return all(_agree(a[name].dataType, b[name].dataType) for name in set(a.names) & set(b.names))
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return _agree(a.elementType, b.elementType)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return _agree(a.keyType, b.keyType) and _agree(a.valueType, b.valueType)
+    return a == b
+
+
+def _united(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The merge of two types that agree."""
+    if isinstance(a, T.StructType):
+        both = [T.StructField(f.name, _united(f.dataType, b[f.name].dataType) if f.name in b.names else f.dataType) for f in a]
+        return T.StructType(both + [f for f in b if f.name not in a.names])
+    if isinstance(a, T.ArrayType):
+        return T.ArrayType(_united(a.elementType, b.elementType))
+    if isinstance(a, T.MapType):
+        return T.MapType(_united(a.keyType, b.keyType), _united(a.valueType, b.valueType))
+    return a
+
+
+def like_groups(files: Sequence[str], schema_of: Callable[[Sequence[str]], T.StructType | None]) -> list[tuple[list[str], T.StructType]]:
+    """Files in groups whose types agree, each with its merged schema.
+
+    ``schema_of`` merges the footers of a list of files, or gives None where they conflict. A list that conflicts is
+    halved; groups that agree are joined again, so there are as many as real conflicts ask for. Writers put files of
+    one kind side by side, so the cost is about two merges for each place where neighbours in the list differ.
+    """
+    groups: list[tuple[list[str], T.StructType]] = []
+
+    def add(own: list[str], schema: T.StructType) -> None:
+        for i, (others, known) in enumerate(groups):
+            if _agree(known, schema):
+                groups[i] = (others + own, _united(known, schema))
+                return
+        groups.append((own, schema))
+
+    todo = [list(files)] if files else []
+    while todo:
+        part = todo.pop()
+        schema = schema_of(part)
+        if schema is not None:
+            add(part, schema)
+        else:
+            half = len(part) // 2
+            todo += [part[half:], part[:half]]
+    return groups
+
+
+def _merged_schema(spark: SparkSession, files: Sequence[str]) -> T.StructType | None:
+    try:
+        return spark.read.option("mergeSchema", True).parquet(*files).schema
+    except (PySparkException, Py4JJavaError) as error:
+        if len(files) > 1 and _error_of(error, _UNLIKE_FILES):
+            return None
+        raise
 
 
 def read_unlike_parquet(spark: SparkSession, path: str) -> list[DataFrame]:
     """All Parquet files below ``path``: one frame, or one for each group of files with the same types.
 
-    Groups are needed only where files give a column unlike types, such as a measure that is a whole number in some. The
-    files' footers are then read by tasks, which costs a further read of them.
+    Groups are needed only where files give a column unlike types, such as a measure that is a whole number in some. They are
+    found from footers alone (``like_groups``, by Spark's own footer merge); no rows are read.
     """
     try:
         return [read_recursive_parquet(spark, path)]
     except (PySparkException, Py4JJavaError) as error:
         if not _error_of(error, _UNLIKE_FILES):
             raise
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-    groups = files.select("path", "content").mapInArrow(_footers, "path string, columns string").groupBy("columns").agg(F.collect_list("path").alias("paths"))
-    return [spark.read.parquet(*row["paths"]) for row in groups.orderBy("columns").toLocalIterator()]
+    # a pinned schema of no interest: listing the files then reads none of them
+    listed = read_recursive_parquet(spark, path, T.StructType([T.StructField("any", T.StringType())])).inputFiles()
+    return read_like_groups(spark, sorted(map(unquote, listed)))
+
+
+def read_like_groups(spark: SparkSession, files: Sequence[str]) -> list[DataFrame]:
+    """These Parquet files, a frame for each group of ``like_groups``."""
+    groups = like_groups(files, lambda part: _merged_schema(spark, part))
+    return [spark.read.schema(schema).parquet(*paths) for paths, schema in groups]
 
 
 def read_multiline_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -92,6 +148,17 @@ def read_multiline_json(spark: SparkSession, path: str, schema: T.StructType | N
     return reader.json(path)
 
 
+def read_json_records(spark: SparkSession, *paths: str) -> DataFrame:
+    """JSON documents of any shapes, one row a record: ``record`` (VARIANT) and ``archivo``.
+
+    Nothing is inferred, so files are read once. A document is an object or an array of objects; what is no JSON is one NULL record.
+    """
+    reader = spark.read.option("singleVariantColumn", "document").option("multiLine", True).option("mode", "PERMISSIVE")
+    documents = reader.json(list(paths)).select("document", F.col("_metadata.file_path").alias("archivo"))
+    items = F.coalesce(F.try_variant_get("document", "$", "array<variant>"), F.array("document"))
+    return documents.select(F.explode(items).alias("record"), "archivo")
+
+
 def _pinned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     # Partition columns come last in a scan; the select restores the order of the schema.
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
@@ -102,8 +169,23 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return _pinned(spark, path, SILVER)
 
 
+def read_batches(spark: SparkSession, path: str, lotes: Sequence[str] | None = None) -> DataFrame:
+    """Silver written batch by batch, accepted and rejected rows with their state, batch, file and reasons; ``lotes``: of these only."""
+    rows = _pinned(spark, path, SILVER_BATCHES)
+    return rows if lotes is None else rows.where(F.col("lote").isin(list(lotes)))
+
+
+def read_accepted(spark: SparkSession, path: str, lotes: Sequence[str] | None = None) -> DataFrame:
+    return read_batches(spark, path, lotes).where(F.col("estado") == ACCEPTED).select(*SILVER.fieldNames(), "lote")
+
+
+def read_rejected(spark: SparkSession, path: str, lotes: Sequence[str] | None = None) -> DataFrame:
+    """Rows that broke a rule of quality, with all the rules they broke and the file they came from."""
+    return read_batches(spark, path, lotes).where(F.col("estado") == REJECTED).drop("estado")
+
+
 def _read_gold(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    table = _pinned(spark, path, schema)
+    table = _pinned(spark, folders.current(spark, path), schema)
     require_rows(table, f"gold table {path}")
     return table
 
