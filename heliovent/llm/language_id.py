@@ -3,12 +3,12 @@
 The vocabulary is fixed and public; only the probability of each piece in each language is learned. A word's
 probability in a language is the sum over all its segmentations into pieces of the products of their probabilities, by the
 forward algorithm; a text's is the product over its words. The probabilities are learned by expectation-maximisation with
-the forward-backward algorithm on word counts of a sample: about ``SAMPLE`` labelled documents of each language, chosen by a hash
-of doc_id, none longer than ``SAMPLE_BYTES``. Everything else covers all rows.
+the forward-backward algorithm on word counts of a sample: ``SAMPLE`` labelled documents of each language at most, those of the
+least hashes, none longer than ``SAMPLE_BYTES``. Everything else covers all rows.
 
-Words are runs of letters in lower case with a mark before them; single bytes are pieces of every vocabulary, so every word
-has a probability. Words above ``LONGEST`` bytes are scored in parts of that size. Distinct words of a batch are scored
-once, words of one length side by side.
+Words are runs of letters in lower case with a mark before them, whole whatever their length; single bytes are pieces of every
+vocabulary, so every word has a probability. Sums are scaled anew every ``RESCALE`` bytes, so that long runs, as in scripts
+without spaces, neither overflow nor vanish. Distinct words of a batch are scored once, words of like length side by side.
 
 ``lang_pred`` is ``und`` with score 0 where the text is null or has no letter, and everywhere if nothing can be learned from.
 Rows with null lang, or null doc_id, are not learned from. Ties go to the language first in the alphabet. An empty table gives
@@ -17,21 +17,23 @@ an empty result; repeated rows are judged each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliovent.llm.sampling import least_hashes
 from heliovent.llm.text import column, gather, runs, slices, span_hashes, text_bytes
 from heliovent.llm.tokens import lower_latin
 
 SAMPLE, SAMPLE_BYTES = 400, 1 << 20
-LONGEST = 48
+RESCALE = 32  # bytes; sums over this many stay in range
+SIDE_BY_SIDE = 480_000  # bytes of words in a table, about
 ROUNDS = 4
 SPREAD = 12.0  # expected gain of each byte, so that products of a word stay in range
-MARK = 0x20
+MARK, PAD = 0x20, 0x100
 HELD_OUT = 2
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -58,32 +60,47 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _widths(lengths: np.ndarray) -> np.ndarray:
+    """To how many bytes words are padded: not at all up to ``RESCALE``, then by an eighth at most."""
+    step = np.maximum(1, 1 << np.maximum(0, np.log2(np.maximum(1, lengths)).astype(np.int64) - 3))
+    return np.where(lengths <= RESCALE, lengths, -(-lengths // step) * step)
+
+
+def tables(lengths: np.ndarray, letters: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Words of like length side by side: their numbers, and a column each of the mark, their bytes and padding (``PAD``).
+
+    letters: the bytes of the words with these numbers, all in a row.
+    """
+    widths = _widths(lengths)
+    order = np.argsort(widths, kind="stable")
+    new = np.flatnonzero(np.r_[True, np.diff(widths[order]) > 0]).tolist() if len(order) else []
+    for a, b in zip(new, [*new[1:], len(order)]):
+        width = int(widths[order[a]])
+        most = max(1, SIDE_BY_SIDE // (width + 1))
+        for c in range(a, b, most):
+            at = order[c : min(b, c + most)]
+            n = lengths[at]
+            table = np.full((width + 1, len(at)), PAD, np.int16)
+            table[0] = MARK
+            table[gather(n, np.ones(len(n), np.int64)), np.repeat(np.arange(len(n)), n)] = letters(at)
+            yield at, table
+
+
 class _Words:
-    """Words of a batch of texts, cut to ``LONGEST`` bytes, and which distinct word each is."""
+    """Words of a batch of texts, and which distinct word each is."""
 
     def __init__(self, texts: pa.Array):
         raw, self.offsets = text_bytes(texts)
         self.raw = raw
         self.data = lower_latin(raw)
-        starts, ends = runs(_letters(raw), self.offsets)
-        n = -(-(ends - starts) // LONGEST)
-        self.starts = np.repeat(starts, n) + gather(n, np.zeros(len(n), np.int64)) * LONGEST
-        self.ends = np.minimum(self.starts + LONGEST, np.repeat(ends, n))
+        self.starts, self.ends = runs(_letters(raw), self.offsets)
         self.first = np.searchsorted(self.starts, self.offsets)
         _, self.one, self.which = np.unique(span_hashes(self.data, self.starts, self.ends), return_index=True, return_inverse=True)
 
-    def by_length(self, most: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Distinct words of one length: their numbers, and their bytes after the mark, a column each."""
-        length = (self.ends - self.starts)[self.one]
-        order = np.argsort(length, kind="stable")
-        new = np.flatnonzero(np.r_[True, np.diff(length[order]) > 0]) if len(order) else []
-        for a, b in zip(new, [*new[1:], len(order)]):
-            for c in range(a, b, most):
-                at = order[c : min(b, c + most)]
-                n = int(length[at[0]])
-                table = np.full((n + 1, len(at)), MARK, np.uint8)
-                table[1:] = self.data[self.starts[self.one[at]] + np.arange(n)[:, None]]
-                yield at, table
+    def tables(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distinct words, side by side."""
+        starts, lengths = self.starts[self.one], (self.ends - self.starts)[self.one]
+        return tables(lengths, lambda at: self.data[gather(lengths[at], starts[at])])
 
 
 class PieceModel:
@@ -91,8 +108,8 @@ class PieceModel:
 
     def __init__(self, pieces: list[bytes], languages: list[str], chances: np.ndarray | None = None):
         self.pieces, self.languages = pieces, languages
-        symbols = sorted({b for p in pieces for b in p})
-        self.symbol = np.zeros(256, np.int32)
+        symbols = [*sorted({b for p in pieces for b in p}), PAD]  # no path goes on over the padding
+        self.symbol = np.zeros(PAD + 1, np.int32)
         self.symbol[symbols] = np.arange(len(symbols))
         rows: list[list[int]] = [[0] * len(symbols)]
         self.node = np.zeros(len(pieces), np.int64)
@@ -108,6 +125,7 @@ class PieceModel:
             self.node[i] = at
         self.next = np.array(rows, np.int32)
         self.size = np.array([len(p) for p in pieces])
+        self.longest = int(self.size.max(initial=1))
         self.set(np.full((len(pieces), len(languages)), 1 / len(pieces)) if chances is None else chances)
 
     def set(self, chances: np.ndarray) -> None:
@@ -127,35 +145,72 @@ class PieceModel:
                     return
             yield words, node, k + 1
 
-    def forward(self, table: np.ndarray) -> np.ndarray:
-        """[place, word, language]: sum over all segmentations of the word up to the place."""
-        out = np.zeros((len(table) + 1, table.shape[1], len(self.languages)))
+    def _scaled(self, out: np.ndarray, at: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """Divide the rows ``at`` of the sums by their largest, where ``active``; the logarithms of what they were divided by."""
+        most = np.where(active[:, None], out[at].max(axis=0), 1.0)
+        most[most <= 0] = 1.0
+        out[at] /= most
+        return np.log(most)
+
+    def log_totals(self, table: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Logarithm of the sum over all segmentations of each word [word, language]; ends: their bytes, the mark included.
+
+        Sums are held for as many places as the longest piece has, so memory does not grow with a word.
+        """
+        ring = self.longest + 1
+        out = np.zeros((ring, table.shape[1], len(self.languages)))
         out[0] = 1
-        for start in range(len(table)):
+        logs = np.zeros(out.shape[1:])
+        total = np.zeros_like(logs)
+        for start in range(len(table) + 1):
+            done = ends == start
+            if done.any():
+                total[done] = np.log(np.maximum(out[start % ring, done], 1e-300)) + logs[done]
+            if start == len(table):
+                break
+            if start % RESCALE == 0 and start:
+                logs += self._scaled(out, np.arange(ring), ends > start)
             for words, node, to in self._steps(table, start):
-                out[to, words] += out[start, words] * self.at_node[node]
-        return out
+                out[to % ring, words] += out[start % ring, words] * self.at_node[node]
+            out[start % ring] = 0
+        return total
 
-    def expected(self, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def expected(self, table: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected number of uses of each node, words weighted by their counts [word, language]."""
-        ahead = self.forward(table)
-        weight = counts / ahead[-1]
-        back = np.zeros_like(ahead)
-        back[-1] = 1
-        used = np.zeros((len(self.next), len(self.languages)))
+        places, shape = len(table) + 1, (table.shape[1], len(self.languages))
+        ahead, back = np.zeros((places, *shape)), np.zeros((places, *shape))
+        ahead[0] = 1
+        back[ends, np.arange(shape[0])] = 1
+        blocks = places // RESCALE + 1
+        ahead_logs, back_logs = np.zeros((blocks, *shape)), np.zeros((blocks + 1, *shape))
+        for start in range(len(table)):
+            if start % RESCALE == 0 and start:
+                near = np.arange(start, min(places, start + self.longest + 1))
+                ahead_logs[start // RESCALE :] += self._scaled(ahead, near, ends > start)
+            for words, node, to in self._steps(table, start):
+                ahead[to, words] += ahead[start, words] * self.at_node[node]
+        number = np.arange(shape[0])
+        total = np.log(np.maximum(ahead[ends, number], 1e-300)) + ahead_logs[np.maximum(ends - 1, 0) // RESCALE, number]
+        used = np.zeros((len(self.next), shape[1]))
         for start in range(len(table) - 1, -1, -1):
+            # a place was divided whenever the sweep passed a multiple of RESCALE at or before it
+            if start % RESCALE == RESCALE - 1:
+                near = np.arange(start + 1, min(places, start + self.longest + 2))
+                factors = self._scaled(back, near, ends > start)
+                back_logs[: start // RESCALE + 1] += factors
+            of_start, of_back = ahead_logs[start // RESCALE], back_logs[start // RESCALE]
             for words, node, to in self._steps(table, start):
                 gain = self.at_node[node] * back[to, words]
                 back[start, words] += gain
-                gain *= ahead[start, words] * weight[words]
-                for k in range(len(self.languages)):
+                gain *= ahead[start, words] * counts[words] * np.exp(of_start[words] + of_back[words] - total[words])
+                for k in range(shape[1]):
                     used[:, k] += np.bincount(node, gain[:, k], minlength=len(used))
         return used
 
-    def log_scores(self, table: np.ndarray) -> np.ndarray:
-        """Log probability of each word in each language."""
-        table = self.symbol[table]
-        return np.log(np.maximum(self.forward(table)[-1], 1e-300)) - len(table) * np.log(SPREAD)
+    def log_scores(self, table: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of each word in each language; ends: as for ``log_totals``, all of the table if not given."""
+        ends = np.full(table.shape[1], len(table)) if ends is None else ends
+        return self.log_totals(self.symbol[table], ends) - (ends * np.log(SPREAD))[:, None]
 
 
 def _pieces(path: str) -> list[bytes]:
@@ -169,7 +224,7 @@ def _pieces(path: str) -> list[bytes]:
         rest = piece.removeprefix("▁")
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)) and rest.isalpha() and rest == rest.lower():
             out.add((" " if rest != piece else "").encode() + rest.encode())
-    return sorted(x for x in out if len(x) <= LONGEST)
+    return sorted(out)
 
 
 def _count_words(batches):
@@ -186,9 +241,7 @@ def learn(docs: DataFrame, path: str, rounds: int = ROUNDS) -> PieceModel | None
     """Piece probabilities of each language of the labelled rows (doc_id, text, lang) given; None without any."""
     labelled = docs.where("lang is not null and text is not null and doc_id is not null")
     labelled = labelled.where(F.octet_length("text") <= SAMPLE_BYTES)
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language of the model
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], SAMPLE / r["n"]))) if sizes else F.lit(None)
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * share[F.col("lang")]) if sizes else labelled
+    chosen = least_hashes(labelled, SAMPLE, ["lang"])
     rows = chosen.select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(rows["lang"].to_pylist()))
     if not languages:
@@ -197,18 +250,14 @@ def learn(docs: DataFrame, path: str, rounds: int = ROUNDS) -> PieceModel | None
     counts: dict[bytes, list[float]] = {}
     for lang, word, n in zip(*(rows[x].to_pylist() for x in ("lang", "word", "n"))):
         counts.setdefault(word, [0.0] * len(languages))[numbers[lang]] += n
-    by_length: dict[int, list[bytes]] = {}
-    for word in counts:
-        by_length.setdefault(len(word), []).append(word)
+    words = list(counts)
+    weights = np.array([counts[w] for w in words]).reshape(len(words), len(languages))
+    lengths = np.array([len(w) for w in words], np.int64)
     model = PieceModel(_pieces(path), languages)
     for _ in range(rounds):
         used = np.zeros(model.at_node.shape)
-        for n, words in by_length.items():
-            for a in range(0, len(words), 20_000):
-                some = words[a : a + 20_000]
-                table = np.full((n + 1, len(some)), MARK, np.uint8)
-                table[1:] = np.frombuffer(b"".join(some), np.uint8).reshape(len(some), n).T
-                used += model.expected(model.symbol[table], np.array([counts[w] for w in some]))
+        for at, table in tables(lengths, lambda at: np.frombuffer(b"".join(words[i] for i in at.tolist()), np.uint8)):
+            used += model.expected(model.symbol[table], lengths[at] + 1, weights[at])
         used = used[model.node] + 0.05
         keep = (used.max(axis=1) > 0.5) | (model.size == 1)
         model = PieceModel([p for p, k in zip(model.pieces, keep) if k], languages, used[keep] / used[keep].sum(axis=0))
@@ -220,8 +269,9 @@ def _judged(model: PieceModel, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     languages = model.languages
     words = _Words(texts)
     scores = np.zeros((len(words.one), len(languages)))
-    for at, table in words.by_length():
-        scores[at] = model.log_scores(table)
+    lengths = (words.ends - words.starts)[words.one]
+    for at, table in words.tables():
+        scores[at] = model.log_scores(table, lengths[at] + 1)
     n = np.diff(words.first)
     total = np.zeros((len(n), len(languages)))
     full = np.flatnonzero(n)
