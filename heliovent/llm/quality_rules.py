@@ -1,9 +1,11 @@
 """Quality rules as a short-circuit cascade.
 
-A rule rejects texts by features of theirs. On a sample of about ``SAMPLE`` rows (chosen by a hash of doc_id, none over
-``SAMPLE_BYTES``) every rule is timed alone and its share of rejections counted; rules then run by rejections per second, each
-on the texts that passed the ones before, and features are computed only for those. The order changes the cost, never the
-verdict: a text is kept if no rule rejects it.
+A rule rejects texts by features of theirs. Its cost and its rejections are estimated on a sample of ``SAMPLE`` rows at most
+(those of the least hashes, none over ``SAMPLE_BYTES``) as they will be paid: the five counts that every row returns are given,
+and so are features that rules chosen before have computed. The rule with the most rejections per second comes first, the next is
+chosen on what it leaves, and so on. Each rule then runs on the texts that passed the ones before, and what it needs beyond the five
+counts (capitals, letters, lines, distinct words) is computed only for those. The order changes the cost, never the verdict: a text is
+kept if no rule rejects it.
 
 Words are runs of bytes that are no ASCII white space. Null text: no words (rejected). A null doc_id is in no sample.
 Repeated rows are judged each. An empty table gives an empty result.
@@ -20,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliovent.llm.sampling import least_hashes
 from heliovent.llm.text import NOT_SPACE, Words, column, gram_hashes, runs, slices, span_hashes, text_bytes
 
 SAMPLE, SAMPLE_BYTES = 1000, 1 << 20
@@ -65,6 +68,12 @@ class Texts:
             self.known[feature] = FEATURES[feature](self)
         return self.known[feature]
 
+    def again(self) -> Texts:
+        """The same with what is known so far, to compute more aside."""
+        out = Texts(self.values, dict(self.known))
+        out._bytes, out._words = self._bytes, self._words
+        return out
+
     def where(self, keep: np.ndarray) -> Texts:
         return self if keep.all() else Texts(self.values.filter(pa.array(keep)), {k: v[keep] for k, v in self.known.items()})
 
@@ -173,16 +182,31 @@ RULES = (
 )
 
 
-def ordered(sample: pa.Array, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
-    """Rules by rejections per second on the sample; a rule's time holds the features that it needs."""
+def ordered(sample: pa.Array, rules: tuple[Rule, ...] = RULES, given: tuple[str, ...] = ()) -> tuple[Rule, ...]:
+    """Rules by rejections per second, each on what the ones before it leave of the sample; ``given`` features cost nothing.
+
+    Rules that reject nothing of what is left follow by their rejections per second of the whole sample.
+    """
     if not len(sample):
         return rules
-    worth = []
-    for rule in rules:
+    texts = Texts(sample)
+    for name in given:
+        texts[name]
+
+    def worth(rule: Rule) -> float:
+        own = texts.again()
         began = time.perf_counter()
-        rejected = int(np.count_nonzero(rule.rejects(Texts(sample))))
-        worth.append(rejected / max(time.perf_counter() - began, 1e-9))
-    return tuple(rules[i] for i in sorted(range(len(rules)), key=lambda i: -worth[i]))
+        rejected = int(np.count_nonzero(rule.rejects(own)))
+        return rejected / max(time.perf_counter() - began, 1e-9)
+
+    first = {rule.name: worth(rule) for rule in rules}
+    out: list[Rule] = []
+    while len(out) < len(rules):
+        left = [rule for rule in rules if rule not in out]
+        best = max(left, key=lambda rule: (worth(rule) if len(texts) else 0.0, first[rule.name]))
+        out.append(best)
+        texts = texts.where(~best.rejects(texts))
+    return tuple(out)
 
 
 def cascade(texts: Texts, rules: tuple[Rule, ...]) -> np.ndarray:
@@ -198,9 +222,7 @@ def cascade(texts: Texts, rules: tuple[Rule, ...]) -> np.ndarray:
 
 def sample_of(docs: DataFrame, size: int = SAMPLE) -> pa.Array:
     rows = docs.where(F.octet_length("text") <= SAMPLE_BYTES)
-    share = size / max(1, rows.count())
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * share).select("text")
-    return column(rows.toArrow(), "text")
+    return column(least_hashes(rows, size, []).select("text").toArrow(), "text")
 
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -228,5 +250,5 @@ def judge_quality(docs: DataFrame) -> DataFrame:
     the words in repeated windows), kept (no rule rejects it; base_failed is two of the rules).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = [r.name for r in ordered(sample_of(rows.where("doc_id is not null")))]
+    order = [r.name for r in ordered(sample_of(rows.where("doc_id is not null")), given=_COUNTS)]
     return rows.mapInArrow(_judge(order), "doc_id long, " + ", ".join(f"{x} long" for x in _COUNTS) + ", base_failed boolean, kept boolean")
