@@ -6,15 +6,16 @@ suffix arrays small and many, only texts that can share a string meet:
 1. Every window of ``length`` bytes has an anchor: of its runs of ``GRAM`` bytes the one with the least hash, the leftmost
    of equals. Equal windows have equal anchors. Windows in a row with one anchor make a stretch.
 2. Every anchor learns (``exchange``, by key range) whether several documents have it, and a label: the place of its first
-   occurrence, in units of ``UNIT`` bytes; an anchor of over ``HOT`` documents is its own label.
+   occurrence, in units of ``UNIT`` bytes. An anchor of over ``HOT`` occurrences is its own label; of one of over ``SPREAD``, such as
+   in a line that many documents have between other texts, each window is, by its hash.
 3. Neighbouring stretches of one label form a piece. A block sends each distinct piece once, with the smallest doc_id that
-   has it. All pieces of a label meet in one task, so equal windows always meet.
+   has it. All pieces of a label meet in one task, so equal windows always meet, and windows of a common line spread over all tasks.
 4. The suffix array of a label's pieces (``suffix_array``) brings equal windows together; neighbours in it are compared
    byte by byte, and each run of equal windows takes the smallest doc_id of its pieces. Pieces go back with these ids, and
    every document removes the windows that have a smaller one.
 
-A label whose pieces exceed ``MOST`` bytes is cut by anchor, then by window, so that no suffix array or group grows with the
-number of near copies. Null texts are empty; texts below ``length`` bytes keep everything. Matches never cross documents;
+So a label holds the surroundings of ``UNIT`` bytes at ``HOT`` places, or of one anchor at ``SPREAD``, however many documents share them,
+and its suffix array some hundreds of KiB. Null texts are empty; texts below ``length`` bytes keep everything. Matches never cross documents;
 rows with one doc_id do not remove each other's strings. A null doc_id counts as larger than all. An empty table gives an
 empty result.
 """
@@ -22,8 +23,6 @@ empty result.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +37,7 @@ from heliovent.llm.text import U64, column, gather, mix, powers, prefix_sums, ru
 GRAM = 30
 UNIT = 256
 HOT = 512
-MOST = 1 << 18
+SPREAD = 4096
 BATCH = 1 << 14  # bytes of a suffix array, about: small enough for the cache, large enough for few calls
 PIECE = 4096  # windows; a longer stretch of one label makes several pieces
 NO_ID = (1 << 63) - 1
@@ -117,7 +116,7 @@ def _key_requests(parts: int, length: int):
         low[x.codes[::-1]] = x.ids[x.docs[::-1]]
         high[x.codes] = x.ids[x.docs]
         place[x.codes[::-1]] = (x.anchor - x.offsets[x.docs])[::-1]
-        count = np.bincount(np.unique(x.codes * len(x.ids) + x.docs) // max(1, len(x.ids)), minlength=len(x.distinct))
+        count = np.bincount(x.codes, minlength=len(x.distinct))
 
         def payload(a, b):
             return ex.pack(ex.pack_ints(low[a:b]), ex.pack_ints(high[a:b] - low[a:b]), ex.pack_ints(place[a:b]), ex.pack_counts(count[a:b]))
@@ -138,11 +137,11 @@ def _label(table: pa.Table) -> pa.Table:
     place = asked.least(np.where(low == first[asked.place], place, NO_ID))
     label = mix(mix(first.astype(U64)) + (place // UNIT).astype(U64))
     label = np.where(count > HOT, mix(keys ^ U64(0x632BE59BD9B4E019)), label)
-    several = first != last
+    several, spread = first != last, count > SPREAD
 
     def payload(at: np.ndarray) -> bytes:
         flags = several[at]
-        return ex.pack(np.packbits(flags).tobytes(), label[at][flags].tobytes())
+        return ex.pack(np.packbits(flags).tobytes(), label[at][flags].tobytes(), np.packbits(spread[at][flags]).tobytes())
 
     return ex.rows_table(asked.answers(table["part"][0].as_py(), 0, payload), ex.ANSWER_ARROW)
 
@@ -152,26 +151,31 @@ class _Pieces:
 
     def __init__(self, x: _Stretches, answers: pa.Table, parts: int, length: int):
         at = ex.cuts(x.distinct, parts)
-        flags, labels = [np.zeros(0, bool)], [np.zeros(0, U64)]
+        flags, labels, spread = [np.zeros(0, bool)], [np.zeros(0, U64)], [np.zeros(0, bool)]
         sizes = iter((np.diff(at)[np.diff(at) > 0]).tolist())
         for payload in ex.in_order(answers, 0):
-            bits, label = ex.unpack(payload)
+            bits, label, wide = ex.unpack(payload)
             flags.append(np.unpackbits(np.frombuffer(bits, np.uint8), count=next(sizes)).astype(bool))
             labels.append(np.frombuffer(label, U64))
+            spread.append(np.unpackbits(np.frombuffer(wide, np.uint8), count=len(labels[-1])).astype(bool))
         several = np.concatenate(flags)
-        label = np.zeros(len(several), U64)
-        label[several] = np.concatenate(labels)
+        label, wide = np.zeros(len(several), U64), np.zeros(len(several), bool)
+        label[several], wide[several] = np.concatenate(labels), np.concatenate(spread)
         keep = several[x.codes]
-        docs, first, last, label = x.docs[keep], x.first[keep], x.last[keep], label[x.codes[keep]]
+        docs, first, last, label, wide = x.docs[keep], x.first[keep], x.last[keep], label[x.codes[keep]], wide[x.codes[keep]]
         new = np.ones(len(docs), bool)
         new[1:] = (docs[1:] != docs[:-1]) | (first[1:] != last[:-1] + 1) | (label[1:] != label[:-1])
         starts = np.flatnonzero(new)
-        docs, label, first = docs[starts], label[starts], first[starts]
+        docs, label, wide, first = docs[starts], label[starts], wide[starts], first[starts]
         last = last[np.r_[starts[1:], len(new)] - 1] if len(starts) else last
-        n = -(-(last - first + 1) // PIECE)  # long ones in several
+        size = np.where(wide, 1, PIECE)  # windows of a piece; long stretches make several
+        n = -(-(last - first + 1) // size)
         self.docs, self.label = np.repeat(docs, n), np.repeat(label, n)
-        self.first = gather(n, np.zeros(len(n), np.int64)) * PIECE + np.repeat(first, n)
-        self.last = np.minimum(self.first + PIECE - 1, np.repeat(last, n))
+        self.first = gather(n, np.zeros(len(n), np.int64)) * np.repeat(size, n) + np.repeat(first, n)
+        self.last = np.minimum(self.first + np.repeat(size, n) - 1, np.repeat(last, n))
+        alone = np.repeat(wide, n)
+        begin = self.first[alone]
+        self.label[alone] = mix(span_hashes(x.data, begin, begin + length) ^ U64(0x3C6EF372FE94F82B))
         self.hash = mix(span_hashes(x.data, self.first, self.last + length) + self.label)
         # by label and content, the smallest doc_id first; the same order whenever the block is read
         order = np.lexsort((self.docs, self.hash, self.label))
@@ -264,32 +268,6 @@ def _least_by_group(groups: list[tuple[list[bytes], np.ndarray]], length: int) -
     return out
 
 
-def _divided(pieces: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
-    """_least_ids of many pieces, anchor by anchor; where an anchor's stretches are still many, window by window."""
-    out = [np.full(len(x) - length + 1, NO_ID) for x in pieces]
-    by_anchor = defaultdict(list)
-    for i, piece in enumerate(pieces):
-        place, grams = anchors(np.frombuffer(piece, np.uint8), length)
-        new = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        for a, b, key in zip(new.tolist(), [*new[1:].tolist(), len(place)], grams[place[new]].tolist()):
-            by_anchor[key].append((i, a, b))
-    for stretches in by_anchor.values():
-        texts = [pieces[i][a : b + length - 1] for i, a, b in stretches]
-        own = ids[[i for i, _, _ in stretches]]
-        if sum(map(len, set(texts))) > MOST:
-            best: dict[bytes, int] = {}
-            for text, k in zip(texts, own.tolist()):
-                for j in range(len(text) - length + 1):
-                    w = text[j : j + length]
-                    best[w] = min(k, best.get(w, NO_ID))
-            found = [np.array([best[t[j : j + length]] for j in range(len(t) - length + 1)]) for t in texts]
-        else:
-            (found,) = _least_by_group([(texts, own)], length)
-        for (i, a, b), least in zip(stretches, found):
-            out[i][a:b] = least
-    return out
-
-
 def _search(length: int):
     def make(table: pa.Table) -> pa.Table:
         asked = ex.Asked(table)
@@ -306,13 +284,8 @@ def _search(length: int):
         places, groups = [], []
         for a, b in zip(bounds[:-1], bounds[1:]):  # a label
             own = asked.order[a:b]
-            texts = [pieces[i] for i in own]
-            if b - a > 1 and sum(map(len, set(texts))) > MOST:
-                for i, least in zip(own.tolist(), _divided(texts, ids[own], length)):
-                    found[i] = least
-            else:
-                places.append(own.tolist())
-                groups.append((texts, ids[own]))
+            places.append(own.tolist())
+            groups.append(([pieces[i] for i in own], ids[own]))
         for own, least in zip(places, _least_by_group(groups, length)):
             for i, x in zip(own, least):
                 found[i] = x

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,9 +43,9 @@ def near_copies():
     return [*rows, (50, text[100:160] + text[500:700]), (51, "abcab" * 60), (52, "abcab" * 40), (53, "é" * 200), (54, "é" * 90)]
 
 
-@pytest.mark.parametrize(("hot", "most", "piece"), [(512, 1 << 18, 4096), (2, 1 << 18, 4096), (512, 500, 64), (512, 100, 4096)])
-def test_every_way_to_cut_labels_gives_the_same(spark, monkeypatch, hot, most, piece):
-    for name, value in (("HOT", hot), ("MOST", most), ("PIECE", piece)):
+@pytest.mark.parametrize(("hot", "spread", "piece"), [(512, 4096, 4096), (2, 4096, 4096), (512, 4096, 64), (2, 5, 4096), (1, 1, 64), (2, 20, 4096)])
+def test_every_way_to_cut_labels_gives_the_same(spark, monkeypatch, hot, spread, piece):
+    for name, value in (("HOT", hot), ("SPREAD", spread), ("PIECE", piece)):
         monkeypatch.setattr(sd, name, value)
     rows = near_copies()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
@@ -72,6 +73,31 @@ def test_every_way_to_cut_labels_gives_the_same(spark, monkeypatch, hot, most, p
     assert ex.REQUEST and frame.count() == len(rows)
 
 
+def test_a_common_line_spreads_over_many_labels(monkeypatch):
+    """A line of 40 bytes between other texts: no label grows with the number of documents that have it."""
+    import random
+
+    import pyarrow as pa
+
+    from heliovent.llm import exchange as ex
+
+    monkeypatch.setattr(sd, "HOT", 20)
+    monkeypatch.setattr(sd, "SPREAD", 50)
+    rng = random.Random(1)
+    sides = lambda: "".join(rng.choice("abcdefghij ") for _ in range(60))
+    largest = []
+    for count in (400, 1600):
+        rows = [(i, sides() + "this line of forty bytes is in each text" + sides()) for i in range(count)] + [(count, rows_end := "x" * 80), (count + 1, rows_end)]
+        block = pa.table({"block_id": [0] * len(rows), "doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+        asked = sd._key_requests(1, 50)(block)
+        pieces = sd._piece_requests(1, 50)(block, sd._label(asked))
+        keys = np.concatenate([ex.unpack_keys(k.as_py()) for k in pieces["keys"]])
+        largest.append(np.unique(keys, return_counts=True)[1].max())
+        got = sd._remove(1, 50, None)(block, pa.concat_tables([sd._label(asked), sd._search(50)(pieces)]))
+        assert sorted((tuple(r.values()) for r in got.to_pylist()), key=repr) == expected(rows)
+    assert max(largest) <= 50
+
+
 def test_rows_keep_their_columns(docs, rows):
     got = sd.without_repeats(docs)
     assert got.columns == docs.columns and got.schema == docs.schema
