@@ -8,7 +8,8 @@ that takes them (best fit), and open a sequence where none does. The plan says f
 sequences at which offset. A piece's rank among those of its length is its rank in the task that made it plus the
 count of the tasks before.
 
-Null or empty texts are the end alone. Repeated rows are packed each; a null doc_id stays null. An empty table gives an
+A task holds a few MiB of texts and their ids at a time; a longer text stands alone, at about ten times its size. Null or empty
+texts are the end alone. Repeated rows are packed each; a null doc_id stays null. An empty table gives an
 empty result. All ties are between pieces of equal length, which may stand for each other.
 """
 
@@ -158,6 +159,8 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, path: str | None = Non
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     counts = stored(counts.select("task", "length", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
     lengths = {x["length"]: x["n"] for x in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
-    ranked = pieces.join(counts.select("task", "length", "before"), ["task", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
+    # as many counts as tasks times lengths: sorted and merged with the pieces, each task's own to each, never sent to all
+    own = counts.select("task", "length", "before").hint("merge")
+    ranked = pieces.join(own, ["task", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
     placed = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
     return placed.mapInArrow(_place(plan(lengths, capacity)), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
