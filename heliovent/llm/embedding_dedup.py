@@ -117,7 +117,7 @@ def join_vectors(frame: DataFrame, least: float = 0.98) -> DataFrame:
         F.xxhash64("embedding").alias("h1"),
         F.xxhash64(F.lit(1), "embedding").alias("h2"),
     )
-    reps = stored(rows.where("label is not null").groupBy(*_KEY).agg(F.min("vec_id").alias("rep_id"), F.count("*").alias("weight"), F.any_value("embedding").alias("vector")).withColumn("rep", F.xxhash64(*_KEY)))
+    reps = stored(rows.where("label is not null").groupBy(*_KEY).agg(F.min("vec_id").alias("rep_id"), F.count("*").alias("weight"), F.any_value("embedding").alias("vector")).withColumn("rep", F.monotonically_increasing_id()))  # a number of its own
     pairs = _linked(reps, least)
     links = pairs.where("b is null").groupBy("a").agg(F.sum("n").alias("n")).withColumnsRenamed({"a": "rep"})
     names = reps.select("rep", "rep_id")
