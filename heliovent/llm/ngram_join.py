@@ -11,8 +11,10 @@ Linked documents share at least ``least = ceil(threshold * n)`` of the n n-grams
 4. A block multiplies rows by the block's incidence matrix: overlaps with all its documents accumulate in one pass over
    its columns; pairs outside the size bounds or below the overlap bound are discarded. Rows already connected to all
    others need no further product, and a block gives a spanning forest of its links, not all pairs.
-5. A block of over ``FAMILY`` documents is cut into chunks, each with the block's first document. Documents not linked to
-   it are then multiplied with every chunk. No document or pair is left out.
+5. A block of over ``FAMILY`` documents is cut into chunks by size of the set (bands of ``RATIO``) and within them by hash, each with the
+   block's first document where the bounds admit it. Documents not linked to it then visit the other chunks, but only those
+   whose sizes and shared n-grams can reach the overlap that a link asks for; visitors of a chunk come in tiles of ``FAMILY``. So the
+   bounds prune before the product, no group of rows that are multiplied exceeds two tiles, and no pair is left out.
 
 Words are runs of bytes that are no ASCII white space, A-Z as a-z; a text of fewer than n words is one n-gram, a text
 without words has none and links with nothing. Null text: no words. A null doc_id stands for a number after all others
@@ -33,7 +35,9 @@ from heliovent.llm.components import components
 from heliovent.llm.text import U64, Words, column, gather, gram_hashes, mix, text_bytes
 
 FAMILY = 2048
+RATIO = 1.05
 NO_ID = (1 << 63) - 1
+WHOLE = -1  # the chunk of a family that has no others
 
 _ROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("heads", pa.list_(pa.int64())), ("grams", pa.binary())])
 _ROW_DDL = "doc_id long, n_shingles long, sig_a long, sig_b long, heads array<long>, grams binary"
@@ -198,49 +202,72 @@ def _multiply(percent: int, again: bool):
     """A task's families. again: multiply the rows marked ``rest`` only; else mark them where a family has chunks."""
 
     def make(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("head", "ascending"), ("chunk", "ascending"), ("doc_id", "ascending")])
+        table = table.sort_by([("head", "ascending"), ("chunk", "ascending"), ("tile", "ascending"), ("doc_id", "ascending")])
         names = {x: column(table, x) for x in table.schema.names}
-        head, chunk, ids, size, first, chunks = (names[x].to_numpy() for x in ("head", "chunk", "doc_id", "n_shingles", "first", "chunks"))
+        head, chunk, tile, ids, size, first = (names[x].to_numpy() for x in ("head", "chunk", "tile", "doc_id", "n_shingles", "first"))
         grams, rest = names["grams"], names["rest"].to_numpy(zero_copy_only=False)
-        new = np.flatnonzero(np.r_[True, (np.diff(head) != 0) | (np.diff(chunk) != 0)])
+        new = np.flatnonzero(np.r_[True, (np.diff(head) != 0) | (np.diff(chunk) != 0) | (np.diff(tile) != 0)])
         out = []
         for a, b in zip(new.tolist(), [*new[1:].tolist(), len(head)]):
-            if b - a < 2:
-                continue
-            matrix = _Matrix(ids[a:b].tolist(), size[a:b], [np.frombuffer(grams[i].as_buffer(), U64) for i in range(a, b)], percent)
-            start = int(np.argmax(ids[a:b] == first[a]))
-            edges, to_start = _forest(matrix, start, np.flatnonzero(rest[a:b]).tolist() if again else None)
-            out += [{"head": int(head[a]), "a": matrix.ids[i], "b": matrix.ids[j]} for i, j in edges]
-            if chunks[a] > 1 and not again:
-                out += [{"head": int(head[a]), "a": matrix.ids[i]} for i in np.flatnonzero(~to_start)]
+            own, has_first = ids[a:b], bool((ids[a:b] == first[a]).any())
+            to_start = np.zeros(b - a, bool)
+            if b - a > 1:
+                matrix = _Matrix(own.tolist(), size[a:b], [np.frombuffer(grams[i].as_buffer(), U64) for i in range(a, b)], percent)
+                start = int(np.argmax(own == first[a])) if has_first else 0
+                edges, to_start = _forest(matrix, start, np.flatnonzero(rest[a:b]).tolist() if again else None)
+                out += [{"head": int(head[a]), "a": matrix.ids[i], "b": matrix.ids[j]} for i, j in edges]
+            if chunk[a] != WHOLE and not again:
+                apart = ~to_start if has_first else np.ones(b - a, bool)
+                out += [{"head": int(head[a]), "a": i} for i in own[apart & (own != first[a])].tolist()]
         return ex.rows_table(out, _EDGE)
 
     return make
 
 
+def _may_link(percent: int) -> F.Column:
+    """Whether a document (n_shingles, have) can link with one of a band (low, high: sizes; most: shared n-grams of one)."""
+    n, low = F.col("n_shingles"), F.col("low")
+    sizes = (F.col("high") * 100 >= percent * n) & (n * 100 >= percent * low)
+    return sizes & (F.least("have", "most") * (100 + percent) >= percent * (n + low))
+
+
 def _links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between representatives that connect all that links connect."""
     spark = rows.sparkSession
     docs = rows.where("grams is not null").join(reps.select(F.col("rep").alias("doc_id"), "sig_a", "sig_b", "n_shingles"), ["doc_id", "sig_a", "sig_b", "n_shingles"], "left_semi")
-    member = docs.select("doc_id", F.explode("heads").alias("head"))
+    member = docs.select("doc_id", "n_shingles", (F.octet_length("grams") / 8).cast("long").alias("have"), F.explode("heads").alias("head"))
     family = member.groupBy("head").agg(F.count("*").alias("size"), F.min("doc_id").alias("first")).where("size > 1")
-    family = family.select("head", "first", F.ceil(F.col("size") / FAMILY).alias("chunks"))
-    member = member.join(family, "head").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks"))
-    starts = member.where("doc_id = first and chunks > 1").select("doc_id", "head", "first", "chunks", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"))
-    placed = member.select("doc_id", "head", "first", "chunks", "chunk").where("doc_id <> first or chunks = 1").union(starts)
+    member = member.join(family, "head")
+    small = member.where(F.col("size") <= FAMILY).select("doc_id", "head", "first", F.lit(WHOLE).alias("chunk"))
+    large = member.where(F.col("size") > FAMILY).withColumn("band", F.floor(F.log("n_shingles") / F.log(F.lit(RATIO))))
+    bands = large.groupBy("head", "first", "band").agg(F.count("*").alias("size"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("have").alias("most"))
+    bands = bands.withColumn("subs", F.ceil(F.col("size") / FAMILY)).drop("size")
+    every_sub = F.explode(F.expr("sequence(0L, subs - 1)")).alias("sub")
+    chunk = (F.shiftleft(F.col("band").cast("long"), 40) + F.col("sub")).alias("chunk")
+    dealt = large.join(bands.select("head", "band", "subs"), ["head", "band"]).withColumn("sub", F.pmod(F.xxhash64("doc_id"), "subs"))
+    dealt = dealt.select("doc_id", "n_shingles", "have", "head", "first", chunk)
+    # the first document goes to all chunks that can hold a link of it
+    firsts = dealt.where("doc_id = first").select("doc_id", "n_shingles", "have", "head").join(bands, "head").where(_may_link(percent))
+    firsts = firsts.select("doc_id", "head", "first", "band", every_sub).select("doc_id", "head", "first", chunk)
     grams = docs.select("doc_id", "n_shingles", "grams")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def multiplied(placed: DataFrame, again: bool) -> DataFrame:
-        dealt = placed.join(grams, "doc_id").withColumn("part", F.pmod(F.xxhash64("head", "chunk"), F.lit(8 * parts)))
-        return dealt.groupBy("part").applyInArrow(_multiply(percent, again), "head long, a long, b long")
+        part = placed.join(grams, "doc_id").withColumn("part", F.pmod(F.xxhash64("head", "chunk", "tile"), F.lit(8 * parts)))
+        return part.groupBy("part").applyInArrow(_multiply(percent, again), "head long, a long, b long")
 
-    edges = storage.stored(multiplied(placed.withColumn("rest", F.lit(False)), False))
-    rest = edges.where("b is null").select("head", F.col("a").alias("doc_id")).distinct().join(family, "head")
+    natives = dealt.where("doc_id <> first").select("doc_id", "head", "first", "chunk")
+    once = small.union(natives).union(firsts).select("*", F.lit(0).cast("long").alias("tile"), F.lit(False).alias("rest"))
+    edges = storage.stored(multiplied(once, False))
+    rest = edges.where("b is null").select("head", F.col("a").alias("doc_id")).distinct()
     if not rest.isEmpty():
-        rest = rest.select("doc_id", "head", "first", "chunks", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"), F.lit(True).alias("rest"))
-        others = placed.withColumn("rest", F.lit(False)).join(rest, ["head", "chunk", "doc_id"], "left_anti").join(rest.select("head").distinct(), "head", "left_semi")
-        second = multiplied(others.unionByName(rest), True)
+        own = rest.join(dealt, ["head", "doc_id"]).withColumnRenamed("chunk", "own")
+        visits = own.drop("first").join(bands, "head").where(_may_link(percent)).select("doc_id", "head", "first", "own", "band", every_sub)
+        visits = visits.select("doc_id", "head", "first", "own", chunk).where("chunk <> own").drop("own")
+        visited = visits.groupBy("head", "chunk").agg(F.ceil(F.count("*") / FAMILY).alias("tiles"))
+        guests = visits.join(visited, ["head", "chunk"]).select("doc_id", "head", "first", "chunk", F.pmod(F.xxhash64("doc_id"), "tiles").alias("tile"), F.lit(True).alias("rest"))
+        hosts = natives.join(visited, ["head", "chunk"]).select("doc_id", "head", "first", "chunk", F.explode(F.expr("sequence(0L, tiles - 1)")).alias("tile"), F.lit(False).alias("rest"))
+        second = multiplied(guests.unionByName(hosts), True)
         edges = storage.stored(edges.union(second))
     return edges.where("b is not null").select("a", "b")
 

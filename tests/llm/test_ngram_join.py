@@ -29,6 +29,34 @@ def test_cut_families_lose_no_link(spark, monkeypatch, family):
     assert len({c for _, _, c in got}) < len(rows)
 
 
+@pytest.mark.parametrize("common", [44, 46, 47])
+def test_templated_texts_that_are_not_near(spark, monkeypatch, common):
+    """A boilerplate in all texts, a Jaccard similarity about the threshold, few links: groups stay small, and no link is lost."""
+    family = 16
+    monkeypatch.setattr(nj, "FAMILY", family)
+    real = nj._multiply
+
+    def checked(percent, again):
+        inner = real(percent, again)
+
+        def make(table):
+            keys = list(zip(*(table[x].to_pylist() for x in ("head", "chunk", "tile"))))
+            assert max(keys.count(k) for k in set(keys)) <= 3 * family + 1, "a group of rows is too large"
+            return inner(table)
+
+        return make
+
+    monkeypatch.setattr(nj, "_multiply", checked)
+    rows = []
+    for k in range(150):
+        own = [f"v{(k // 2)}_{i}" for i in range(3)] + [f"u{k}_{i}" for i in range(6 + k % 3)]
+        rows.append((k, " ".join([f"b{i}" for i in range(common)] + own)))
+    rows += [(1000 + k, " ".join([f"b{i}" for i in range(common)] + [f"z{k // 3}_{i}" for i in range(10)] + [f"y{k}"])) for k in range(30)]
+    got = sorted(map(tuple, nj.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == expected(rows)
+    assert 1 < len({c for _, _, c in got}) < len(rows)
+
+
 def test_one_row_of_each_component_stays(docs):
     kept = nj.one_of_each(docs)
     assert kept.columns == docs.columns
