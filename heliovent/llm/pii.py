@@ -2,13 +2,15 @@
 
 Plain finds are the leftmost matches, without overlap within a kind, of a pattern for each kind, less those that fail its
 check. Then transducers rewrite a text: look-alike letters and other scripts' digits to ASCII, hidden signs to nothing,
-spelled digits to digits, ``at`` and ``dot`` in disguise to their signs. Each keeps for every character the source
+entities of HTML to their signs, spelled digits to digits, ``at`` and ``dot`` in disguise to their signs, in English, German, Spanish and
+French. Each keeps for every character the source
 characters it stands for. The same patterns search the rewritten text, and a match that holds something rewritten and
 does not lie within a plain find of its kind is mapped back and added; a longer one stands beside the plain find. They search
 once more with spelled digits joined over commas and blanks, and once more over line ends; what is found before stays. Texts
 without a sign of disguise skip this.
 
-Rewriting is careful: a word counts as look-alikes only if all its letters become ASCII; ``at`` without brackets needs a
+Rewriting is careful: between words the German, Spanish and French words for ``at`` need a whole domain after them, and ``at`` and ``chez``,
+which mean other things, a spelled dot in it; a spelled digit by itself, without another one or a plain digit beside it, stays; a word counts as look-alikes only if all its letters become ASCII; ``at`` without brackets needs a
 spelled ``dot`` in the domain after it, or before a literal domain a local part that looks like one (john.smith, j_doe, jo42)
 or a word such as ``mail`` or ``contact`` before it. Patterns start only where a match could, so long runs of digits or letters cost no more
 than others. Null text: empty. Offsets are code points, ends exclusive. Every row is searched by itself; doc_id, other
@@ -90,8 +92,22 @@ _ALIKE = dict(
 # fixed values: signs that are not shown, and signs that stand for a dot, an at, a plus or a hyphen
 _HIDDEN = "­​‌‍⁠﻿"
 _SIGNS = {"․": ".", "。": ".", "．": ".", "﹒": ".", "＠": "@", "﹫": "@", "﹢": "+", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-"}
-# fixed values: digits in English
-_SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+# fixed values: the digits from 0 to 9 by language, words for a plus, and words for an at and a dot in addresses
+_DIGIT_WORDS = {
+    "en": ("zero oh", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"),
+    "de": ("null", "eins", "zwei zwo", "drei", "vier", "fünf fuenf", "sechs", "sieben", "acht", "neun"),
+    "es": ("cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"),
+    "fr": ("zéro zero", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf"),
+}
+_PLUS_WORDS = ("plus", "más", "mas")
+# by language: words that say at, those of them that also mean something else, and the word for a dot. English has rules of its own.
+_AT_WORDS = {"de": ("ät", "at", "klammeraffe"), "es": ("arroba",), "fr": ("arobase", "arrobase", "chez")}
+_UNSURE = ("at", "chez")
+_DOT_WORDS = {"de": "punkt", "es": "punto", "fr": "point"}
+# fixed values: names of signs in HTML
+_ENTITIES = {"commat": "@", "period": ".", "plus": "+", "hyphen": "-"}
+
+_SPELLED = {word: str(digit) for words in _DIGIT_WORDS.values() for digit, some in enumerate(words) for word in some.split()}
 
 
 def _alike(char: str) -> str | None:
@@ -143,14 +159,34 @@ class Mapped:
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGN = re.compile(r"[^\x00-\x7f]")
 _HIDE = re.compile(f"[{_HIDDEN}]")
-_NUMBER = "(?:" + "|".join(_SPELLED) + ")"
-_PLUS = re.compile(rf"(?<![A-Za-z])plus[ -]+(?=[0-9]|{_NUMBER}(?![A-Za-z]))", re.I)
-_NUMBERS = re.compile(rf"(?<![A-Za-z]){_NUMBER}(?:[ -]{_NUMBER})*+(?![A-Za-z])", re.I)
+_LETTER = "A-Za-zÀ-ÿ"
+_CAPITALS = str.maketrans("äáéü", "ÄÁÉÜ")
+
+
+def _tried(words) -> str:
+    """An alternation of words, apart by first letter so that most fail at once; letters beyond ASCII in either case."""
+    forms = {form for w in words for form in ({w} if w.isascii() else {w, w.translate(_CAPITALS)})}
+    heads = sorted({w[0] for w in forms})
+    return "(?:" + "|".join(h + "(?:" + "|".join(sorted((re.escape(w[1:]) for w in forms if w[0] == h), key=len, reverse=True)) + ")" for h in heads) + ")"
+
+
+_DOT_ANY = _tried(["dot", *_DOT_WORDS.values()])
+# what may stand between the digits of a find, spelled or not
+_GAP = rf"(?:[ \t\r\n,.()\[\]{{}}<>+-]|{_DOT_ANY})++"
+
+_NUMBER = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
+_PLUS = re.compile(rf"(?<![{_LETTER}])(?:{'|'.join(_PLUS_WORDS)})[ -]+(?=[0-9]|{_NUMBER}(?![{_LETTER}]))", re.I)
+_NUMBERS = re.compile(rf"(?<![{_LETTER}]){_NUMBER}(?:[ -]{_NUMBER})*+(?![{_LETTER}])", re.I)
+_BEFORE = re.compile(rf"(?:[0-9]|(?<![{_LETTER}]){_NUMBER}){_GAP}\Z", re.I)
+_AFTER = re.compile(rf"{_GAP}(?:[0-9]|{_NUMBER}(?![{_LETTER}]))", re.I)
+_ENTITY = re.compile(rf"&(?:#0*+([0-9]{{2,3}})|#x0*+([0-9a-f]{{2}})|({'|'.join(_ENTITIES)}));", re.I)
 # what parts spelled digits: commas and blanks, then line ends as well
 _JOINED = tuple(re.compile(rf"(?<=[0-9])[{signs}]++(?=[0-9])") for signs in (r" \t,-", r" \t,\r\n-"))
 _ONE = re.compile(_NUMBER, re.I)
-_AT_MARKED = re.compile(r"[ \t]*+[\[({<][ \t]*+(?:at|@)[ \t]*+[\])}>][ \t]*+", re.I)
-_DOT_MARKED = re.compile(r"[ \t]*+[\[({<][ \t]*+(?:dot|point|\.)[ \t]*+[\])}>][ \t]*+", re.I)
+_NUMBERS_IN = re.compile(rf"{_NUMBER}[ -]{_NUMBER}", re.I)
+_AT_MARKED = re.compile(rf"[ \t]*+[\[({{<][ \t]*+(?:at|@|{'|'.join(w for words in _AT_WORDS.values() for w in words)})[ \t]*+[\])}}>][ \t]*+", re.I)
+_DOT_MARKED = re.compile(rf"[ \t]*+[\[({{<][ \t]*+(?:dot|{'|'.join(_DOT_WORDS.values())}|\.)[ \t]*+[\])}}>][ \t]*+", re.I)
+_DOT_DIGITS = re.compile(rf"(?<=[0-9])[ \t]++(?:{'|'.join(_DOT_WORDS.values())})[ \t]++(?=[0-9])", re.I)
 _DOT_PLAIN = re.compile(r"(?<=[A-Za-z0-9])[ \t]++dot[ \t]++(?=[A-Za-z0-9])", re.I)
 _AT_PLAIN = re.compile(r"(?<=[A-Za-z0-9])[ \t]++at[ \t]++(?!(?:the|an?|this|that|which|each|every|its?|his|her|our|their)\b)(?=([A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++))", re.I)
 # fixed values: what speaks for an address before `` at `` and a literal domain, and words that are no local part
@@ -160,6 +196,18 @@ _CUED_LOCAL = re.compile(
     r"(?!(?:me|us|him|her|them|you|it|this|that|one|is|to|in|out|up|here|there|now|back|look|address|support(?:ed)?|sent|found|available)[ \t]*\Z)[A-Za-z0-9._%+-]+\Z",
     re.I,
 )
+
+
+def _phrase(language: str) -> re.Pattern:
+    """What follows the first word of an address that is spelled out: dots of the local part, at, and a domain."""
+    at, dot = "|".join(_AT_WORDS[language]), _DOT_WORDS[language]
+    gap, label = r"[ \t]++", "[A-Za-z0-9-]++"
+    between = rf"(?:{gap}{dot}{gap}|\.)"
+    return re.compile(rf"(?<=[A-Za-z0-9])(?:{gap}{dot}{gap}{label})*{gap}({at}){gap}({label}(?:{between}{label})*{between}[A-Za-z]{{2,}}+)(?![A-Za-z0-9-])", re.I)
+
+
+_PHRASES = {language: _phrase(language) for language in _AT_WORDS}
+_SPOKEN = {language: re.compile(rf"[ \t]++(?:({'|'.join(_AT_WORDS[language])})|{_DOT_WORDS[language]})[ \t]++", re.I) for language in _AT_WORDS}
 _TOP = re.compile(r"\.[A-Za-z]{2,}-?\Z")
 _AT_SPACED = re.compile(r"(?<=[A-Za-z0-9])(?:[ \t]++@[ \t]*+|@[ \t]++)(?=[A-Za-z0-9])")
 
@@ -181,8 +229,23 @@ def deobfuscated(text: str) -> Mapped:
     if not text.isascii():
         out = out.rewritten(_HIDE, const("")).rewritten(_WORD, all_alike).rewritten(_SIGN, sign)
 
+    def entity(m: re.Match):
+        number = int(m[1]) if m[1] else int(m[2], 16) if m[2] else ord(_ENTITIES[m[3].lower()])
+        sign = chr(number)
+        return [(m.start(), m.end(), sign)] if sign.isascii() and (sign.isalnum() or sign in "@._+-") else None
+
+    def spoken(language: str):
+        def to(m: re.Match):  # a word that means something else as well needs a dot that is spelled
+            if m[1].lower() in _UNSURE and not re.search(rf"[ \t]{_DOT_WORDS[language]}[ \t]", m[2], re.I):
+                return None
+            return [(x.start(), x.end(), "@" if x[1] else ".") for x in _SPOKEN[language].finditer(m.string, m.start(), m.end())]
+
+        return to
+
     def numbers(m: re.Match):
         parts, at = [], m.start()
+        if not (_NUMBERS_IN.search(m[0]) or _AFTER.match(m.string, m.end()) or _BEFORE.search(m.string[max(0, at - 40) : at])):
+            return None  # one by itself
         for one in _ONE.finditer(m[0]):  # the gap before a further word goes with it
             parts.append((at, m.start() + one.end(), _SPELLED[one[0].lower()]))
             at = m.start() + one.end()
@@ -196,9 +259,13 @@ def deobfuscated(text: str) -> Mapped:
                 return None
         return [(m.start(), m.end(), "@")]
 
+    out = out.rewritten(_ENTITY, entity)
     out = out.rewritten(_PLUS, const("+")).rewritten(_NUMBERS, numbers)
-    out = out.rewritten(_DOT_MARKED, const(".")).rewritten(_DOT_PLAIN, const("."))
+    out = out.rewritten(_DOT_MARKED, const(".")).rewritten(_DOT_DIGITS, const("."))
     out = out.rewritten(_AT_MARKED, const("@"))
+    for language, pattern in _PHRASES.items():
+        out = out.rewritten(pattern, spoken(language))
+    out = out.rewritten(_DOT_PLAIN, const("."))
     out = out.rewritten(_AT_PLAIN, plain_at)
     return out.rewritten(_AT_SPACED, const("@"))
 
@@ -253,18 +320,33 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _FOREIGN = np.zeros(256, bool)
 _FOREIGN[0xC4:] = True  # leads of what is beyond Latin-1
-# what the transducers rewrite in texts up to Latin-1: their own patterns, less blanks in front that may be missing, and the soft hyphen
-_TRANSDUCERS = (_PLUS, _NUMBERS, _DOT_MARKED, _DOT_PLAIN, _AT_MARKED, _AT_PLAIN, _AT_SPACED)
-_HINT = re.compile("|".join(["\xc2\xad", *(p.pattern.removeprefix(r"[ \t]*+") for p in _TRANSDUCERS)]).encode("latin-1"), re.I)
+
+
+# A text up to Latin-1 can hold a find in disguise only if one of these matches its lower-case bytes: each is what a transducer
+# needs, less conditions. A spelled digit alone makes no find; it takes another one, or a plain digit, beyond a gap.
+_AT_ANY = _tried(["at", *(w for words in _AT_WORDS.values() for w in words)])
+_SURE_AT = _tried([w for words in _AT_WORDS.values() for w in words if w not in _UNSURE])
+_DIGIT_ANY = _tried(_SPELLED)
+_HINTS = tuple(
+    re.compile(pattern.encode())
+    for pattern in (
+        rf"(?<![a-z])(?:{_DIGIT_ANY}{_GAP}|{_tried(_PLUS_WORDS)}[ -]+)(?:[0-9]|{_DIGIT_ANY})",
+        rf"[0-9]{_GAP}{_DIGIT_ANY}",
+        rf"[\[({{<][ \t]*+(?:{_AT_ANY}|{_DOT_ANY}|[@.])[ \t]*+[\])}}>]",
+        rf"[ \t](?:dot[ \t]|{_SURE_AT}[ \t]|(?:at|chez)[ \t]++[a-z0-9-]++(?:\.|[ \t]++{_DOT_ANY}[ \t])|@|{_DOT_ANY}[ \t]++[0-9])",
+        rf"@[ \t]|&(?:#|{_tried(_ENTITIES)};)|{chr(0xAD)}",
+    )
+)
 
 
 def _suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts that may hold plain finds, and texts with a sign of disguise."""
     sums = np.cumsum(np.stack([np.r_[0, _DIGIT[data] | (data == 64)], np.r_[0, _FOREIGN[data]]]), axis=1)
     plain, suspect = np.diff(sums[:, offsets]) > 0
-    whole = data.tobytes()
+    whole = data.tobytes().lower()
     for i in np.flatnonzero(~suspect).tolist():  # each by itself: no pattern sees a neighbour's letters
-        suspect[i] = _HINT.search(whole[offsets[i] : offsets[i + 1]]) is not None
+        text = whole[offsets[i] : offsets[i + 1]]
+        suspect[i] = any(hint.search(text) for hint in _HINTS)
     return plain, suspect
 
 

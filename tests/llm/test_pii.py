@@ -15,7 +15,7 @@ def test_plain_finds_equal_the_patterns(text):
     assert pii.plain_spans(text) == brute.private(text)
 
 
-@pytest.mark.parametrize("run", ["1" * 30_000, "a" * 30_000, "1." * 15_000, "+1" * 10_000, "1 " * 15_000, "a@" * 10_000, "@" * 20_000, "one " * 8000, " dot " * 5000, "[ at ] " * 3000, "а" * 20_000])
+@pytest.mark.parametrize("run", ["1" * 30_000, "a" * 30_000, "1." * 15_000, "+1" * 10_000, "1 " * 15_000, "a@" * 10_000, "@" * 20_000, "one " * 8000, " dot " * 5000, "[ at ] " * 3000, "а" * 20_000, "un " * 10_000, " chez" * 5000, "a punkt " * 4000, "&#" * 10_000])
 def test_long_runs_take_no_longer(run):
     pii.all_spans(run)
 
@@ -122,6 +122,45 @@ def test_disguise_beside_plain_finds_in_domains_and_over_separators(text, spans)
     assert sorted(pii._listed([x]) for x in pii.all_spans(text)[1]) == sorted(spans)
 
 
+LANGUAGES = [
+    ("ruf plus vier neun drei null eins zwei drei vier fünf sechs an", ["phone:4:59"]),
+    ("max ät beispiel punkt de", ["email:0:24"]),
+    ("schreib an max punkt muster ät mail punkt beispiel punkt de bitte", ["email:11:59"]),
+    ("max (ät) beispiel (punkt) de", ["email:0:28"]),
+    ("eins neun zwei punkt eins sechs acht punkt null punkt eins", ["ip:0:58"]),
+    ("llama más tres cuatro nueve uno dos tres cuatro cinco seis", ["phone:6:58"]),
+    ("john arroba ejemplo punto com", ["email:0:29"]),
+    ("juan arroba ejemplo.com", ["email:0:23"]),
+    ("cuatro" + " uno" * 15, ["card:0:66"]),
+    ("appelez plus quatre quatre deux zéro sept neuf quatre six zéro neuf cinq huit", ["phone:8:77"]),
+    ("jean chez exemple point fr", ["email:0:26"]),
+    ("jean arobase exemple.fr", ["email:0:23"]),
+    ("écris à jean.dupont [arobase] mail [point] exemple [point] fr", ["email:8:61"]),
+    ("user&#64;example.com or user&commat;example&#46;com", ["email:0:20", "email:24:51"]),
+    ("&#43;44 20 7946 0958", ["phone:0:20"]),
+    ("rentrer chez lui. acheter chez amazon.fr, un point de vue, le point final", []),
+    ("der Punkt ist: eins oder zwei, drei Leute at Hause", []),
+    ("dos o tres personas; el punto es uno; un point six", []),
+    ("six sept huit neuf, un deux trois", []),
+    ("AT&T &amp; &#169; &lt;b&gt;", []),
+]
+
+
+@pytest.mark.parametrize(("text", "spans"), LANGUAGES)
+def test_disguise_in_four_languages_and_html(text, spans):
+    assert suspects([text]) == [True] or not spans
+    assert sorted(pii._listed([x]) for x in pii.all_spans(text)[1]) == sorted(spans)
+
+
+WORDS = ["plus", "más", "Fünf", "fünf", "FÜNF", "zéro", "ZÉRO", "quatre", "un", "uno", "dos", "eins", "null", "ät", "ÄT", "at", "chez", "arroba", "arobase", "punkt", "punto", "point", "dot", "jean", "exemple", "fr", "com", " ", "  ", ".", ",", "-", "(", ")", "[", "]", "@", "7", "44", "&#64;", "&commat;", "&", ";", "é", "\n"]
+
+
+@given(st.lists(st.sampled_from(WORDS), max_size=16).map("".join))
+@settings(max_examples=4000, deadline=None)
+def test_the_gate_lets_disguise_in_all_languages_pass(text):
+    assert suspects([text]) == [True] or (1 not in pii.deobfuscated(text).changed and not pii.disguised_spans(text, pii.plain_spans(text)))
+
+
 def test_nothing_of_a_longer_find_stays_in_clear():
     for text in ("john dot smith@example.com", "user@mail.example [dot] com"):
         assert pii.redacted(f"to {text}!", pii.all_spans(f"to {text}!")[1]) == "to <EMAIL>!"
