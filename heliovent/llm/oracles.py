@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, written independently of the operators.
 
 The others are held against plain loops, round trips or held-out accuracy in the tests: scores learned by expectation-
-maximisation, packings, segmentations, byte-exact removals with digests, and transducers are beyond it.
+maximisation, packings, segmentations and transducers are beyond it.
 """
 
 from __future__ import annotations
@@ -94,6 +94,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+_REPEATS = """
+WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+places AS (SELECT doc_id, n, unnest(range(1, n + 1)) AS i, b FROM texts),
+windows AS (SELECT doc_id, i, CASE WHEN i + 49 <= n THEN b[i:i + 49] END AS w, hex(b[i:i]) AS byte FROM places),
+least AS (SELECT w, min(doc_id) AS first FROM windows WHERE w IS NOT NULL GROUP BY w HAVING count(*) > 1),
+judged AS (SELECT doc_id, i, byte, coalesce(first < doc_id, false) AS repeats FROM windows LEFT JOIN least USING (w)),
+covered AS (
+  SELECT doc_id, i, byte, bool_or(repeats) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM judged
+),
+edges AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS begins FROM covered),
+counted AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans, string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM edges GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts LEFT JOIN counted USING (doc_id)
+"""
+
 _EXACT = """
 WITH texts AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
@@ -110,6 +128,38 @@ _CRC = """xor(list_reduce(
       lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
 
 
+# Words of equal texts q apart form stretches; a stretch with a period that a smaller one divides is that one's run.
+_RUNS = f"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w, {_CRC} AS h FROM documents),
+counted AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g FROM texts),
+planted AS (
+  SELECT doc_id, w, n, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a, CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p
+  FROM counted
+),
+places AS (SELECT *, unnest(range(0, n)) AS i FROM planted),
+words AS (SELECT doc_id, i, CASE WHEN a IS NULL OR i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END AS x FROM places),
+pairs AS (SELECT l.doc_id, l.i, r.i - l.i AS q FROM words l JOIN words r ON l.doc_id = r.doc_id AND l.x = r.x AND l.i < r.i),
+numbered AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch FROM pairs),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, max(i) + 1 + q AS e FROM numbered GROUP BY doc_id, q, stretch HAVING count(*) + q >= greatest(12, 2 * q)
+),
+runs AS (
+  SELECT * FROM stretches c
+  WHERE NOT EXISTS (SELECT 1 FROM stretches d WHERE d.doc_id = c.doc_id AND d.q < c.q AND c.q % d.q = 0 AND d.s <= c.s AND d.e >= c.e)
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    first(struct_pack(s := s, n := e - s, q := q) ORDER BY e - s DESC, s, q) AS best
+  FROM runs GROUP BY doc_id
+),
+dropped AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(s + q, e)) AS i FROM runs)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS rest FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.n AS length, best.q AS period, 1000 * best.n // best.q AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def _field(value: str) -> str:
     return f"coalesce(CAST(octet_length(encode(CAST({value} AS VARCHAR))) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
 
@@ -162,8 +212,10 @@ FROM folded f JOIN up u ON u.doc_id = f.doc_id AND u.n = 1 CROSS JOIN top
 
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": _VECTORS,
+    "op5_suffix_dedup": _REPEATS,
     "op6_quality_rules": _QUALITY,
     "op8_ngram_join": _NEAR_COPIES,
     "op11_exact_dedup": _EXACT,
+    "op12_periodic_runs": _RUNS,
     "op13_merkle_manifest": _MERKLE,
 }
