@@ -35,6 +35,13 @@ def _text(name: str) -> str:
     return pkgutil.get_data("heliovent.llm", f"license_texts/{name}.txt").decode()
 
 
+# fixed values: licences named in one-line identifiers, and the endings that their names have there
+_PLAIN, _GNU = ("",), ("", "-only", "-or-later", "+")
+_SPDX = {
+    **dict.fromkeys(("0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "ISC", "MIT", "MPL-2.0", "Unlicense"), _PLAIN),
+    **dict.fromkeys(("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0"), _GNU),
+}
+
 # fixed values: notices and short licence texts (public wording); several may stand for one licence
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -160,6 +167,30 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
     ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "BSL-1.0",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+        documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and
+        to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to
+        the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+        the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the
+        Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source
+        language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+        THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT
+        HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    ("GPL-2.0", "Licensed under the GNU General Public License v2.0."),
+    ("GPL-3.0", "Licensed under the GNU General Public License v3.0."),
+    ("ISC", "Licensed under the ISC License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "The MIT License (MIT)"),
+    ("MPL-2.0", "Licensed under the Mozilla Public License 2.0."),
+    *((name, f"SPDX-License-Identifier: {name}{suffix}") for name, suffixes in _SPDX.items() for suffix in suffixes),
     *((name, _text(name)) for name in ("AGPL-3.0", "Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")),
 )
 

@@ -95,6 +95,20 @@ def test_notices_that_share_their_line(spark):
     ) == [("MIT", "MIT"), ("CC-BY-4.0", "CC-BY-4.0,MIT"), ("CC-BY-NC-4.0", "CC-BY-NC-4.0"), (None, "")]
 
 
+def test_identifiers_and_common_notices(spark):
+    assert found(
+        spark,
+        "# SPDX-License-Identifier: MIT",
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint main(void) { return 0; }",
+        "// Copyright me\n// SPDX-License-Identifier: BSD-3-Clause",
+        "Licensed under the Apache License 2.0",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file or copy at http://www.boost.org/LICENSE_1_0.txt)",
+        "This crate is licensed under the MIT License, see below.",
+        "SPDX-License-Identifier: LicenseRef-Own",
+        "A license identifier in SPDX form names the license",
+    ) == [("MIT", "MIT"), ("GPL-2.0", "GPL-2.0"), ("BSD-3-Clause", "BSD-3-Clause"), ("Apache-2.0", "Apache-2.0"), ("BSL-1.0", "BSL-1.0"), ("MIT", "MIT"), (None, ""), (None, "")]
+
+
 def test_best_windows_equal_all_windows():
     rng = np.random.default_rng(5)
     for _ in range(300):
