@@ -8,11 +8,20 @@ import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-BLOCK_BYTES = 12 << 20  # of text in a block, on average
+from heliovent.llm.text import column, slices, text_bytes
+
+BLOCK_BYTES = 12 << 20  # of text in a block, at most
+BLOCK_ROWS = 1 << 16  # at most, for texts that are empty
 RANGE_BYTES = 16 << 20  # of text for each key range
 FIRST_BYTES = 64 << 30  # up to here they stay so; then they grow with the square root of the input,
 MOST_GROWTH = 10.0  # up to this factor
@@ -94,11 +103,33 @@ def clean_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+def _numbered(name: str, size: int, schema: pa.Schema):
+    """The rows with the number of their block, which closes before it would exceed ``size`` bytes of text or ``BLOCK_ROWS`` rows."""
+
+    def make(batches) -> Iterator[pa.RecordBatch]:
+        block, held, rows = TaskContext.get().partitionId() << 33, 0, 0
+        for batch in slices(batches, name, size):
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(at, BLOCK_ROWS)
+                bytes_ = np.cumsum(np.diff(text_bytes(column(part, name))[1]))
+                fits = int(np.searchsorted(bytes_, size - held, "right"))  # a slice holds no more than one block can
+                fits = min(fits, BLOCK_ROWS - rows)
+                if fits < part.num_rows and rows:
+                    numbers = block + (np.arange(part.num_rows) >= fits)
+                    block, rows = block + 1, part.num_rows - fits
+                    held = int(bytes_[-1] - (bytes_[fits - 1] if fits else 0))
+                else:
+                    numbers, rows, held = np.full(part.num_rows, block), rows + part.num_rows, held + int(bytes_[-1])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(numbers)], schema=schema)
+
+    return make
+
+
 class Blocks:
     """Rows with a text, dealt into blocks of bounded size and kept bucketed by block.
 
-    A block is a run of rows of one input partition, so writing needs no shuffle. What is computed for a
-    block's keys elsewhere comes back by ``block_id``, and only that side is shuffled.
+    A block is a run of rows of one input partition, so writing needs no shuffle; a longer text is a block of its own. What
+    is computed for a block's keys elsewhere comes back by ``block_id``, and only that side is shuffled.
     """
 
     def __init__(self, frame: DataFrame, name: str = "text", size: int = BLOCK_BYTES):
@@ -108,15 +139,14 @@ class Blocks:
         # Larger inputs take larger blocks and key ranges, so that a block still has many keys in a range.
         growth = min(MOST_GROWTH, max(1.0, (self.bytes / FIRST_BYTES) ** 0.5))
         size = int(size * growth)
-        per_block = max(1, round(size * self.rows / self.bytes)) if self.bytes else 1 << 20
-        shift = max(0, min(32, per_block.bit_length() - 1))
         self.buckets = max(1, min(1 << 16, -(-self.bytes // size)))
         # ranges of the key space: about two million keys each at first, should every eighth byte start one
         self.parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-self.bytes // int(RANGE_BYTES * growth)))
         self.name, self.path = f"llm_blocks_{uuid.uuid4().hex}", new_path(spark)
         Scratch.owner().tables.append(self.name)
+        numbered = T.StructType([*frame.schema, T.StructField("block_id", T.LongType())])
         (
-            frame.withColumn("block_id", F.shiftright(F.monotonically_increasing_id(), shift))
+            frame.mapInArrow(_numbered(name, size, to_arrow_schema(numbered)), numbered)
             .write.format("parquet").option("path", self.path).option("compression", "zstd")
             .bucketBy(self.buckets, "block_id").saveAsTable(self.name)
         )

@@ -337,9 +337,9 @@ def _remove(parts: int, length: int, schema: pa.Schema | None):
         kept, at = x.data[~removed].tobytes(), (x.offsets - total[x.offsets]).tolist()
         texts = [kept[a:b] for a, b in zip(at[:-1], at[1:])]
         if schema is not None:
-            row = column(table, "row").take(pa.array(x.order)).flatten()
+            rest = column(table, "rest").take(pa.array(x.order))
             text = pa.array([t.decode(errors="ignore") for t in texts], pa.string())
-            return pa.table([text if f.name == "text" else c for f, c in zip(schema, row)], schema=schema)
+            return pa.table([text if f.name == "text" else rest.field(f.name) for f in schema], schema=schema)
         sha = [hashlib.sha256(t).hexdigest() for t in texts]
         return pa.table([pa.array(x.ids), pa.array(np.diff(x.offsets)), pa.array(gone), pa.array(spans), pa.array(sha)], schema=_OUT)
 
@@ -347,7 +347,8 @@ def _remove(parts: int, length: int, schema: pa.Schema | None):
 
 
 def _removed(docs: DataFrame, length: int, schema: pa.Schema | None, ddl) -> DataFrame:
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([F.struct("*").alias("row")] if schema else []))
+    rest = F.struct(*[c for c in docs.columns if c != "text"])
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([rest.alias("rest")] if schema else []))
     blocks = storage.Blocks(rows, size=6 << 20)
     parts = 4 * blocks.parts
     labels = storage.stored(blocks.ask(_key_requests(parts, length), ex.REQUEST).groupBy("part").applyInArrow(_label, ex.ANSWER))

@@ -1,0 +1,51 @@
+"""Blocks of bounded size, and tables that are dropped when their owner says so."""
+
+import os
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from heliovent.llm import storage
+from heliovent.llm.queries import importable
+from heliovent.llm.storage import Blocks, Scratch, stored
+
+
+@pytest.fixture()
+def mixed(spark):
+    """Long texts next to short, empty and null ones, in the order of the rows."""
+    importable(spark)
+    lengths = [10] * 500 + [40_000] * 30 + [0] * 200 + [7] * 100 + [900_000, 5, 5]
+    rows = [(i, "x" * n if n or i % 2 else None) for i, n in enumerate(lengths)]
+    return spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+
+
+def test_blocks_are_bounded_by_bytes(mixed):
+    blocks = Blocks(storage.clean_text(mixed), size=100_000)
+    sizes = blocks.table.groupBy("block_id").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).collect()
+    assert all(r.bytes <= 100_000 or r.rows == 1 for r in sizes)
+    assert sum(r.rows for r in sizes) == mixed.count() and len(sizes) < 40
+
+
+def test_blocks_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(storage, "BLOCK_ROWS", 50)
+    schema = pa.schema([("text", pa.string()), ("block_id", pa.int64())])
+    monkeypatch.setattr(storage.TaskContext, "get", lambda: type("Task", (), {"partitionId": staticmethod(lambda: 1)}))
+    batches = [pa.RecordBatch.from_pydict({"text": [""] * n}) for n in (30, 130, 7)]
+    numbers = [x for b in storage._numbered("text", 1000, schema)(batches) for x in b["block_id"].to_pylist()]
+    counts = [numbers.count(n) for n in sorted(set(numbers))]
+    assert sum(counts) == 167 and max(counts) <= 50 and numbers == sorted(numbers) and len(counts) <= 6
+
+
+def test_scratch_is_dropped_with_its_owner(spark, mixed):
+    before = {t.name for t in spark.catalog.listTables()}
+    with Scratch() as own:
+        kept = stored(Blocks(storage.clean_text(mixed)).table)
+    with Scratch() as inner:
+        Blocks(storage.clean_text(mixed)).drop()
+    assert kept.count() == mixed.count() and len(own.paths) == 2 and len(own.tables) == 1
+    paths = [p.removeprefix("file:") for p in [*own.paths, *inner.paths]]
+    assert [os.path.exists(p) for p in paths] == [True, True, False]
+    own.drop(spark)
+    inner.drop(spark)
+    assert not any(map(os.path.exists, paths)) and {t.name for t in spark.catalog.listTables()} == before
