@@ -17,6 +17,8 @@ an empty result; repeated rows are judged each.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +32,7 @@ from heliovent.llm.tokens import lower_latin
 
 SAMPLE, SAMPLE_BYTES = 400, 1 << 20
 RESCALE = 32  # bytes; sums over this many stay in range
+FEW = 8  # words side by side below which they are summed one by one
 SIDE_BY_SIDE = 480_000  # bytes of words in a table, about
 ROUNDS = 4
 SPREAD = 12.0  # expected gain of each byte, so that products of a word stay in range
@@ -157,6 +160,8 @@ class PieceModel:
 
         Sums are held for as many places as the longest piece has, so memory does not grow with a word.
         """
+        if table.shape[1] <= FEW and len(table) > RESCALE:
+            return np.array([self._log_total(table[:end, i].tolist()) for i, end in enumerate(ends.tolist())])
         ring = self.longest + 1
         out = np.zeros((ring, table.shape[1], len(self.languages)))
         out[0] = 1
@@ -175,6 +180,39 @@ class PieceModel:
             out[start % ring] = 0
         return total
 
+    @functools.cached_property
+    def _paths(self) -> tuple[list[dict[int, int]], dict[int, list[float]]]:
+        """The trie's branches and weights for walks of one word."""
+        branches = [{s: int(row[s]) for s in np.flatnonzero(row).tolist()} for row in self.next]
+        return branches, {n: self.at_node[n].tolist() for n in self.node.tolist()}
+
+    def _log_total(self, word: list[int]) -> list[float]:
+        """log_totals of one long word, where numpy's calls would cost more than the sums."""
+        branches, weights = self._paths
+        languages = range(len(self.languages))
+        ring = self.longest + 1
+        out = [[0.0] * len(languages) for _ in range(ring)]
+        out[0] = [1.0] * len(languages)
+        logs = [0.0] * len(languages)
+        for start in range(len(word)):
+            if start % RESCALE == 0 and start:
+                for k in languages:
+                    most = max(sums[k] for sums in out) or 1.0
+                    logs[k] += math.log(most)
+                    for sums in out:
+                        sums[k] /= most
+            own, node = out[start % ring], 0
+            out[start % ring] = [0.0] * len(languages)
+            for at in range(start, len(word)):
+                node = branches[node].get(word[at], 0)
+                if not node:
+                    break
+                if node in weights:
+                    weight, sums = weights[node], out[(at + 1) % ring]
+                    for k in languages:
+                        sums[k] += own[k] * weight[k]
+        return [math.log(max(x, 1e-300)) + y for x, y in zip(out[len(word) % ring], logs)]
+
     def expected(self, table: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected number of uses of each node, words weighted by their counts [word, language]."""
         places, shape = len(table) + 1, (table.shape[1], len(self.languages))
