@@ -433,6 +433,19 @@ FROM e
 SELECT substr(iso, 1, 4) AS year, substr(iso, 6, 2) AS month, substr(iso, 9, 2) AS day, count(*) AS messages,
   true AS a_file_a_batch
 FROM e GROUP BY ALL
+""",
+    "stream_rejected": _with(_EVENTS)
+    + """,
+judged AS (
+  SELECT dt % 7 = 0 AS no_json, dt % 7 = 0 OR dt % 11 = 0 AS no_date, dt % 7 = 0 OR dt % 13 = 0 AS no_city FROM e
+),
+lines AS (
+  SELECT 'aceptado' AS estado, CAST(NULL AS VARCHAR) AS motivo, count(*) AS filas FROM judged WHERE NOT (no_date OR no_city)
+  UNION ALL SELECT 'rechazado', 'sin_json', count(*) FROM judged WHERE no_json
+  UNION ALL SELECT 'rechazado', 'sin_fecha', count(*) FROM judged WHERE no_date
+  UNION ALL SELECT 'rechazado', 'sin_ciudad', count(*) FROM judged WHERE no_city
+)
+SELECT *, filas AS observed FROM lines WHERE filas > 0
 """,
     "payload_normalize": _with(_EVENTS)
     + """

@@ -375,6 +375,31 @@ def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("year", "month", "day", "messages", (F.col("files") <= 2).alias("a_file_a_batch"))
 
 
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic with messages cut off, without a readable time or a city, drained in two batches: what was kept, rejected and counted."""
+    root = inputs.scratch(spark, "stream")
+    records = inputs.flat_records(spark, sf_dir)
+    second = F.floor(F.col("ts") / 1000)
+    spoilt = records.withColumns(
+        {
+            "datetime_utc": F.when(second % 11 == 0, "soon").otherwise(F.col("datetime_utc")),
+            "city": F.when(second % 13 != 0, F.col("city")),
+        }
+    )
+    body = F.to_json(F.struct(*spoilt.columns), {"ignoreNullFields": "false"})
+    sent = spoilt.withColumn("body", body).select(F.when(second % 7 == 0, F.left("body", F.lit(20))).otherwise(F.col("body")).cast("binary").alias("value"))
+    sent.repartition(2).write.parquet(f"{root}/topic")
+    topic = spark.readStream.schema(T.StructType([T.StructField("value", T.BinaryType())])).option("maxFilesPerTrigger", 1)
+    judged = raw.to_judged(topic.parquet(f"{root}/topic"))
+    query = raw.start_raw_sink(judged, f"{root}/raw", f"{root}/checkpoint", drain=True, partitions=raw.JUDGED_PARTITIONS)
+    query.awaitTermination()
+    rows = spark.read.schema(judged.schema).parquet(f"{root}/raw")
+    written = rows.select("estado", F.explode_outer("motivos").alias("motivo")).groupBy("estado", "motivo").agg(F.count("*").alias("filas"))
+    counted = raw.message_counts(query)
+    names = F.create_map(*[F.lit(x) for item in counted.items() for x in item])
+    return written.withColumn("observed", F.coalesce(names[F.col("motivo")], F.lit(counted["aceptados"])).cast("bigint"))
+
+
 def payload_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = inputs.api_payloads(spark, sf_dir)
     return messages.normalise_payload(payloads, now_ms=F.lit(POLL_MS))
@@ -523,6 +548,7 @@ QUERIES: dict[str, Query] = {
         stream_parse,
         stream_to_raw,
         stream_resumed,
+        stream_rejected,
         payload_normalize,
         publish_json,
         hour_profile,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliovent.functions.timekeys import utc_date, utc_text, year_text
-from heliovent.schemas import STREAM_RECORD
+from heliovent.schemas import ACCEPTED, REJECTED, STREAM_RECORD
 
 # The parts of the API answer that are used; their entries are all numbers. Maps, because a key
 # that is absent must be told apart from one that is null.
@@ -74,6 +77,26 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     return messages.select(parsed.alias("data")).select("data.*")
 
 
+# Reasons to reject a message, in the order in which they are given.
+MESSAGE_REASONS = ("sin_json", "sin_fecha", "sin_ciudad")
+
+
+def judge_messages(messages: DataFrame) -> DataFrame:
+    """Stream records with their day, the reasons to reject each (``motivos``), its state and, of a rejected one, the message itself."""
+    body = F.col("value").cast("string")
+    rows = messages.select(F.from_json(body, STREAM_RECORD, {"mode": "PERMISSIVE"}).alias("data"), body.alias("mensaje")).select("data.*", "mensaje")
+    dated = add_day_partitions(rows)
+    unknown = reduce(and_, (F.col(name).isNull() for name in STREAM_RECORD.fieldNames()))
+    broken = {
+        "sin_json": unknown & F.try_parse_json("mensaje").isNull(),
+        "sin_fecha": F.col("day").isNull(),
+        "sin_ciudad": F.col("city").isNull(),
+    }
+    judged = dated.withColumn("motivos", F.array_compact(F.array(*[F.when(broken[reason], F.lit(reason)) for reason in MESSAGE_REASONS])))
+    accepted = F.size("motivos") == 0
+    return judged.withColumns({"estado": F.when(accepted, ACCEPTED).otherwise(REJECTED), "mensaje": F.when(~accepted, F.col("mensaje"))})
+
+
 def add_day_partitions(records: DataFrame) -> DataFrame:
     """``year``, ``month``, ``day`` of the observation in UTC as zero-padded text; NULL if unreadable.
 

@@ -5,14 +5,18 @@ The query keeps no state: a late message simply lands in the folder of its own d
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from heliovent.operators.messages import add_day_partitions, parse_messages
+from heliovent.operators.messages import MESSAGE_REASONS, add_day_partitions, judge_messages, parse_messages
 from heliovent.plans.session import require_utc
 from heliovent.schemas import RAW_PARTITIONS
 
 DAILY_TRIGGER = "86400 seconds"
+JUDGED_PARTITIONS = ("estado", *RAW_PARTITIONS)
 
 
 def read_topic(
@@ -37,6 +41,26 @@ def to_raw(messages: DataFrame) -> DataFrame:
     return add_day_partitions(parse_messages(messages))
 
 
+COUNTS = "mensajes"
+
+
+def to_judged(messages: DataFrame) -> DataFrame:
+    """Message frame -> raw rows, accepted and rejected, counted on the way: ``message_counts`` reads the counts of a running query."""
+    reasons = [F.count_if(F.array_contains("motivos", reason)).alias(reason) for reason in MESSAGE_REASONS]
+    accepted = F.count_if(F.size("motivos") == 0).alias("aceptados")
+    return judge_messages(messages).observe(COUNTS, F.count(F.lit(1)).alias("total"), accepted, *reasons)
+
+
+def message_counts(query: StreamingQuery) -> dict[str, int]:
+    """Messages seen, accepted, and rejected for each reason, over the batches that the query remembers (the last hundred)."""
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(COUNTS)
+        for name, count in (row.asDict() if row else {}).items():
+            total[name] = total.get(name, 0) + count
+    return total
+
+
 def start_raw_sink(
     raw: DataFrame,
     path: str,
@@ -44,14 +68,15 @@ def start_raw_sink(
     interval: str = DAILY_TRIGGER,
     files_per_batch: int | None = None,
     drain: bool = False,
+    partitions: Sequence[str] = RAW_PARTITIONS,
 ) -> StreamingQuery:
-    """Start appending ``raw`` to Parquet at ``path``; resumes from ``checkpoint``.
+    """Start appending ``raw`` to Parquet at ``path``; resumes from ``checkpoint``. Judged rows go by ``JUDGED_PARTITIONS``.
 
     ``files_per_batch=1`` gives one file per batch and day, written by one task; by default
     every task writes its own. ``drain=True`` processes what is there and stops.
     """
     rows = raw if files_per_batch is None else raw.coalesce(files_per_batch)
-    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*RAW_PARTITIONS)
+    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*partitions)
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if drain else {"processingTime": interval}
     return writer.trigger(**trigger).start()

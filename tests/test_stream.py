@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogue import inputs
-from heliovent.operators.messages import add_day_partitions, normalise_payload, parse_messages
+from heliovent.operators.messages import add_day_partitions, judge_messages, normalise_payload, parse_messages
 from heliovent.operators.normalise import normalise
 from heliovent.schemas import STREAM_RECORD
 from heliovent.sources.readers import read_recursive_parquet
@@ -179,3 +179,34 @@ def test_interval_trigger(spark, tmp_path):
 def test_topic_needs_the_kafka_connector(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         raw.read_topic(spark, "broker:9092", "weather", minPartitions="64")
+
+
+@pytest.mark.parametrize(
+    ("body", "reasons"),
+    [
+        ("{bad", ["sin_json", "sin_fecha", "sin_ciudad"]),
+        ("", ["sin_json", "sin_fecha", "sin_ciudad"]),
+        ("{}", ["sin_fecha", "sin_ciudad"]),
+        ("null", ["sin_fecha", "sin_ciudad"]),
+        (record(when="soon"), ["sin_fecha"]),
+        (record(city=None), ["sin_ciudad"]),
+        (record(temp_c="hot"), []),
+        (record(), []),
+    ],
+)
+def test_messages_are_judged_and_rejected_ones_kept(spark, body, reasons):
+    row = judge_messages(messages(spark, body)).first()
+    assert row.motivos == reasons
+    assert (row.estado, row.mensaje) == (("rechazado", body) if reasons else ("aceptado", None))
+
+
+def test_a_stream_counts_its_rejected_messages(spark, tmp_path):
+    root = str(tmp_path)
+    messages(spark, record(), record(), "{bad", record(when="soon")).coalesce(1).write.parquet(f"{root}/topic")
+    stream = raw.to_judged(spark.readStream.schema(VALUE).parquet(f"{root}/topic"))
+    query = raw.start_raw_sink(stream, f"{root}/raw", f"{root}/ck", drain=True, partitions=raw.JUDGED_PARTITIONS)
+    query.awaitTermination()
+    assert raw.message_counts(query) == {"total": 4, "aceptados": 2, "sin_json": 1, "sin_fecha": 2, "sin_ciudad": 1}
+    rows = spark.read.schema(stream.schema).parquet(f"{root}/raw")
+    assert sorted(r.mensaje for r in rows.where("estado = 'rechazado'").collect()) == sorted(["{bad", record(when="soon")])
+    assert {p.split("/")[-1] for p in glob.glob(f"{root}/raw/estado=*")} == {"estado=aceptado", "estado=rechazado"}
