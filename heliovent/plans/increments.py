@@ -38,6 +38,9 @@ _FILES = T.StructType(
     ]
 )
 
+# By default the stream would pass over files a week older than the newest it has seen, such as late copies of old days.
+_ANY_AGE = "36500d"
+
 DONE = "_merged"  # folder of marks, one for each batch that gold holds
 FORMATS = {"parquet": "*.parquet", "json": "*.json*"}
 
@@ -96,15 +99,18 @@ def run_silver_increment(
     """Read what has come below the sources since the last run, and stop. Sources: name -> folder; a name must stay the same.
 
     A stream of the source's file listing says which files are new, without opening them; ``files_per_batch`` of them at
-    most make a batch, whose names the driver holds. A batch's files may have unlike types (Parquet) or records of unlike shapes (JSON). All
+    most make a batch, whose names the driver holds. A folder that does not exist yet is passed over. A batch's files may have unlike types (Parquet) or records of unlike shapes (JSON). All
     rows are written in one pass, the accepted apart from the rejected with their reasons. Returns the batches of this run.
     """
     require_utc(spark)
     runs: list[BatchRun] = []
     for kind, sources in (("parquet", parquet or {}), ("json", json or {})):
         for name, path in sources.items():
+            if not folders.exists(spark, path):
+                log.error("source %s is not there yet: %s", name, path)
+                continue
             listing = spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", True)
-            listing = listing.option("pathGlobFilter", FORMATS[kind]).option("maxFilesPerTrigger", files_per_batch)
+            listing = listing.option("pathGlobFilter", FORMATS[kind]).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", _ANY_AGE)
             new = listing.load(path).select("path").writeStream.option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
             new = new.foreachBatch(silver_batch(silver_path, name, kind, now, runs))
             new.trigger(availableNow=True).start().awaitTermination()

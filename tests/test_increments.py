@@ -64,6 +64,22 @@ def test_each_file_is_read_once(spark, lake):
     assert lake.rows() == [("A", 1, 1.0), ("B", 3, 3.0), ("C", 4, 4.0)]
 
 
+def test_a_late_copy_of_an_old_file_is_read(spark, lake, tmp_path):
+    lake.drop([("A", 1, 1.0)])
+    lake.read()
+    lake.drop([("B", 2, 2.0)])
+    for name in glob.glob(f"{tmp_path}/raw/api/2/*.parquet"):
+        os.utime(name, (1_000_000_000, 1_000_000_000))
+    lake.read()
+    assert lake.rows() == [("A", 1, 1.0), ("B", 2, 2.0)]
+
+
+def test_a_source_that_is_not_there_yet(spark, lake):
+    assert lake.read() == []
+    lake.drop([("A", 1, 1.0)])
+    assert len(lake.read()) == 1
+
+
 def test_a_batch_that_is_run_again_replaces_itself(spark, lake):
     lake.drop([("A", 1, 1.0)])
     lake.read()
