@@ -235,9 +235,11 @@ def _links(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between representatives that connect all that links connect."""
     spark = rows.sparkSession
     docs = rows.where("grams is not null").join(reps.select(F.col("rep").alias("doc_id"), "sig_a", "sig_b", "n_shingles"), ["doc_id", "sig_a", "sig_b", "n_shingles"], "left_semi")
-    member = docs.select("doc_id", "n_shingles", (F.octet_length("grams") / 8).cast("long").alias("have"), F.explode("heads").alias("head"))
+    # stored, so that what follows reads of it what it needs and does not bring the n-grams along again and again
+    docs = storage.stored(docs.select("doc_id", "n_shingles", (F.octet_length("grams") / 8).cast("long").alias("have"), "heads", "grams"))
+    member = docs.select("doc_id", "n_shingles", "have", F.explode("heads").alias("head"))
     family = member.groupBy("head").agg(F.count("*").alias("size"), F.min("doc_id").alias("first")).where("size > 1")
-    member = member.join(family, "head")
+    member = storage.stored(member.join(family, "head"))
     small = member.where(F.col("size") <= FAMILY).select("doc_id", "head", "first", F.lit(WHOLE).alias("chunk"))
     large = member.where(F.col("size") > FAMILY).withColumn("band", F.floor(F.log("n_shingles") / F.log(F.lit(RATIO))))
     bands = large.groupBy("head", "first", "band").agg(F.count("*").alias("size"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("have").alias("most"))
