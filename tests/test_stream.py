@@ -150,6 +150,31 @@ def test_one_file_per_batch_and_day(spark, tmp_path):
     assert len(glob.glob(f"{root}/raw/year=2025/month=10/day=19/*.parquet")) == 1
 
 
+@pytest.mark.parametrize("options", [{"files_per_batch": 1}, {}])
+def test_days_of_a_batch_go_to_several_tasks(spark, tmp_path, options):
+    root, coalesce = str(tmp_path), "spark.sql.adaptive.coalescePartitions.enabled"
+    days = [f"2025-10-{day:02}T02:45:00Z" for day in range(1, 17)]
+    messages(spark, *[record(when=when) for when in 3 * days]).coalesce(1).write.parquet(f"{root}/topic")
+    spark.conf.set(coalesce, "false")
+    try:
+        drain(spark, root, **options)
+    finally:
+        spark.conf.unset(coalesce)
+    files = glob.glob(f"{root}/raw/year=2025/month=10/*/*.parquet")
+    assert len(files) == len(days)
+    assert len({file.split("/part-")[1][:5] for file in files}) > 1
+    assert spark.read.parquet(f"{root}/raw").count() == 3 * len(days)
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_files_of_a_batch_and_day_are_bounded(spark, tmp_path, most):
+    root = str(tmp_path)
+    messages(spark, *[record(str(i)) for i in range(200)]).repartition(4).write.parquet(f"{root}/topic")
+    drain(spark, root, files_per_batch=most)
+    assert 1 <= len(glob.glob(f"{root}/raw/year=2025/month=10/day=19/*.parquet")) <= most
+    assert spark.read.parquet(f"{root}/raw").count() == 200
+
+
 def test_raw_folder_can_be_read_as_a_source(spark, tmp_path):
     root = str(tmp_path)
     messages(spark, record("A", humidity=1)).write.parquet(f"{root}/topic")
